@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.constants import WIKI_MARKER
 from corpusmill.functions.links import parse_page_url
 from corpusmill.schema import ANSWER, JOB_DDL, MEMBERSHIP_DDL, QUESTION, RECORD_DDL
 
@@ -36,10 +37,10 @@ def _struct_or_text(item: Column, ddl: str) -> Column:
     return F.when(F.startswith(item, F.lit("{")), F.from_json(item, ddl)).otherwise(plain)
 
 
-def read_url_list(spark: SparkSession, path: str) -> DataFrame:
-    """(url, title, lang) of the non-blank lines."""
+def read_url_list(spark: SparkSession, path: str, marker: str = WIKI_MARKER) -> DataFrame:
+    """(url, title, lang) of the non-blank lines; the title follows the last marker."""
     urls = spark.read.text(path).select(F.trim("value").alias("url")).filter("url <> ''")
-    return urls.withColumn("page", parse_page_url(F.col("url"))).select("url", "page.title", "page.lang")
+    return urls.withColumn("page", parse_page_url(F.col("url"), marker)).select("url", "page.title", "page.lang")
 
 
 def read_membership(spark: SparkSession, path: str) -> DataFrame:
