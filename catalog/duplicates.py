@@ -86,7 +86,9 @@ _PRINTS = f"""letters AS (SELECT doc_id, unnest(c) AS c1, generate_subscripts(c,
     FROM (SELECT doc_id, string_split(array_to_string(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'), ''), '') AS c FROM documents)),
   grams AS (SELECT doc_id, c1 || lead(c1, 1) OVER w || lead(c1, 2) OVER w || lead(c1, 3) OVER w AS g
     FROM letters WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-  votes AS (SELECT doc_id, count(*) AS n, {_BITS} FROM (SELECT doc_id, md5(g) AS h FROM grams WHERE g IS NOT NULL) GROUP BY doc_id),
+  short AS (SELECT doc_id, array_to_string(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+'), '') AS g FROM documents),
+  votes AS (SELECT doc_id, count(*) AS n, {_BITS} FROM (SELECT doc_id, md5(g) AS h FROM grams WHERE g IS NOT NULL
+    UNION ALL SELECT doc_id, md5(g) FROM short WHERE length(g) < 4) GROUP BY doc_id),
   sums AS (SELECT doc_id, {_SUM} AS u FROM votes),
   prints AS (SELECT doc_id, (CASE WHEN u >= {1 << 63}::HUGEINT THEN u - {1 << 64}::HUGEINT ELSE u END)::BIGINT AS fingerprint FROM sums)"""
 _HAMMING = """pairs AS (SELECT a.doc_id AS lo, b.doc_id AS hi, bit_count(xor(a.fingerprint, b.fingerprint)) AS distance

@@ -29,9 +29,6 @@ _CITATION = r"(?U)\[\d+\]"
 _SPACE = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACES = f"[ {_SPACE}]+"
 _UNEVEN_SPACES = f"[{_SPACE}][ {_SPACE}]*| [ {_SPACE}]+"
-_ENTITY = r"&(#\d|#[xX]|[A-Za-z])"
-# Everything outside ASCII, Latin-1 letters and common punctuation may change under NFKC.
-_NFKC_SENSITIVE = "[^¡-§©«¬®°±¶·»¿-ÿ–—‘-„•]"
 
 
 @F.arrow_udf(StringType())
@@ -39,16 +36,21 @@ def _unescape(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else html.unescape(t) for t in texts.to_pylist()], pa.string())
 
 
+def _normal(text: str) -> str:
+    text = html.unescape(text)
+    if "[[" in text:
+        text = re.sub(_PLAIN_LINK, r"\1", re.sub(_PIPED_LINK, r"\2", text))
+    return unicodedata.normalize("NFKC", text)
+
+
 @F.arrow_udf(StringType())
 def _unescape_link_nfkc(texts: pa.Array) -> pa.Array:
-    out = []
-    for text in texts.to_pylist():
-        if text is not None:
-            text = html.unescape(text)
-            text = re.sub(_PLAIN_LINK, r"\1", re.sub(_PIPED_LINK, r"\2", text))
-            text = unicodedata.normalize("NFKC", text)
-        out.append(text)
-    return pa.array(out, pa.string())
+    return pa.array([None if t is None else _normal(t) for t in texts.to_pylist()], pa.string())
+
+
+# The optimizer copies a deterministic column into filters on it, which would run the whole chain twice.
+_unescape = _unescape.asNondeterministic()
+_unescape_link_nfkc = _unescape_link_nfkc.asNondeterministic()
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -62,21 +64,17 @@ def strip_markup(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Decode character references; only texts that have one travel to Python."""
-    return F.coalesce(_unescape(F.when(text.rlike(_ENTITY), text)), text)
-
-
-def plain_links(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, _PIPED_LINK, "$2"), _PLAIN_LINK, "$1")
+    """Decode character references. SQL has no function for it, so texts pass through one Arrow batch."""
+    return _unescape(text)
 
 
 def clean_text(text: Column) -> Column:
-    """Plain text of a page: no superscripts, tags, link syntax or ``[n]`` marks, NFKC, single spaces."""
+    """Plain text of a page: no superscripts, tags, link syntax or ``[n]`` marks, NFKC, single spaces.
+
+    Each step uses its input once, so nested calls do not multiply.
+    """
     bare = strip_markup(F.regexp_replace(text, _SUP, ""))
-    beyond_ascii = F.regexp_replace(bare, r"[\x00-\x7F]+", "")
-    needs_python = bare.rlike(_ENTITY) | beyond_ascii.rlike(_NFKC_SENSITIVE)
-    normal = F.coalesce(_unescape_link_nfkc(F.when(needs_python, bare)), plain_links(bare))
-    return collapse_spaces(F.regexp_replace(normal, _CITATION, ""))
+    return collapse_spaces(F.regexp_replace(_unescape_link_nfkc(bare), _CITATION, ""))
 
 
 def clean_wiki_text(text: Column) -> Column:
@@ -176,7 +174,7 @@ def advanced_clean_text(
     With ``stop_words`` (language code to list) those words are dropped as well.
     """
     text = clean_wiki_text(text)
-    text = F.when(lang.isin("en", "de"), fold_accents(text)).otherwise(text)
+    text = let(text, lambda t: F.when(lang.isin("en", "de"), fold_accents(t)).otherwise(t))
     text = F.regexp_replace(text, _CITATION, "")
     text = F.regexp_replace(text, r"(?iuU)\b(" + "|".join(SEE_ALSO) + r")\b.*", "")
     text = F.regexp_replace(text, r"(?s)\{\|.*?\|\}", "")

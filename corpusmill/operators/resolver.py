@@ -18,52 +18,38 @@ def removed_by_first_come(edges: DataFrame, cliques: DataFrame | None = None) ->
     ``edges`` has columns ``lo < hi``. ``cliques`` (``clique``, ``seq``) names groups whose members are all
     duplicates of each other, so that a group of m copies costs m rows instead of m² edges.
 
-    Each round settles every undecided row without an undecided earlier duplicate, in parallel. Rounds
-    follow the longest chain of decisions, which is short unless duplicates form long ordered chains.
+    Each round settles every undecided row without an undecided earlier duplicate, in parallel: it stays, and
+    its later duplicates go. Of a clique only the edges from its first undecided member are needed in a round.
+    Rounds follow the longest chain of decisions, which is short unless duplicates form long ordered chains.
     """
     edges = materialize(edges.select("lo", "hi"), "edges")
-    cliques = None if cliques is None else materialize(cliques.select("clique", "seq"), "cliques")
     removed_parts: list[DataFrame] = []
     while True:
-        has_edges = not edges.isEmpty()
-        has_cliques = cliques is not None and not cliques.isEmpty()
-        if not has_edges and not has_cliques:
-            break
-        blocked = edges.select(F.col("hi").alias("seq"))
-        candidates = edges.select(F.col("lo").alias("seq"))
-        if has_cliques:
-            first = cliques.groupBy("clique").agg(F.min("seq").alias("first"))
-            members = cliques.join(first, "clique")
-            candidates = candidates.unionByName(first.select(F.col("first").alias("seq")))
-            blocked = blocked.unionByName(members.filter("seq > first").select("seq"))
-        kept = materialize(
-            candidates.distinct().join(blocked.distinct(), "seq", "left_anti"), "kept"
-        )
-        removed = edges.join(kept.select(F.col("seq").alias("lo")), "lo", "left_semi").select(
-            F.col("hi").alias("seq")
+        current = edges.withColumn("listed", F.lit(True))
+        if cliques is not None:
+            first = cliques.groupBy("clique").agg(F.min("seq").alias("lo"))
+            star = cliques.join(first, "clique").filter("seq > lo")
+            current = current.unionByName(star.select("lo", F.col("seq").alias("hi"), F.lit(False).alias("listed")))
+        blocked = current.select(F.col("hi").alias("lo")).distinct()
+        kept = current.select("lo").distinct().join(blocked, "lo", "left_anti").withColumn("stays", F.lit(True))
+        marked = materialize(
+            current.join(kept, "lo", "left").select("lo", "hi", "listed", F.col("stays").isNotNull().alias("stays")),
+            "round",
         )
-        if has_cliques:
-            settled = cliques.join(kept, "seq", "left_semi").select("clique", F.col("seq").alias("keeper"))
-            removed = removed.unionByName(
-                cliques.join(settled, "clique").filter("seq <> keeper").select("seq")
-            )
-        removed = materialize(removed.distinct(), "removed")
+        if marked.isEmpty():
+            break
+        settled = marked.filter("stays")
+        removed = settled.select(F.col("hi").alias("seq")).distinct()
         removed_parts.append(removed)
-        gone = removed.unionByName(kept)
-        edges = materialize(
-            edges.join(gone.select(F.col("seq").alias("lo")), "lo", "left_anti").join(
-                removed.select(F.col("seq").alias("hi")), "hi", "left_anti"
-            ).select("lo", "hi"),
-            "edges",
+        edges = (
+            marked.filter("listed AND NOT stays").select("lo", "hi")
+            .join(removed.select(F.col("seq").alias("lo")), "lo", "left_anti")
+            .join(removed.select(F.col("seq").alias("hi")), "hi", "left_anti")
         )
-        if has_cliques:
-            left = cliques.join(settled.select("clique").distinct(), "clique", "left_anti").join(
-                removed, "seq", "left_anti"
-            )
-            cliques = materialize(left.select("clique", "seq"), "cliques")
-    if not removed_parts:
-        return edges.select(F.col("hi").alias("seq"))
-    out = removed_parts[0]
-    for part in removed_parts[1:]:
+        if cliques is not None:
+            gone = removed.unionByName(settled.select(F.col("lo").alias("seq")).distinct())
+            cliques = materialize(cliques.join(gone, "seq", "left_anti").select("clique", "seq"), "cliques")
+    out = marked.select(F.col("hi").alias("seq"))
+    for part in removed_parts:
         out = out.unionByName(part)
     return out

@@ -76,9 +76,13 @@ def build_records(
     remove_stop_words: bool = False,
     idf: DataFrame | None = None,
 ) -> DataFrame:
-    """Page texts (seq, title, text, lang, category) to records with summaries and embeddings."""
-    cleaned = clean_pages(pages, stop_words if remove_stop_words else None)
-    records = derive_records(summarize(cleaned, idf=idf), stop_words)
+    """Page texts (seq, title, text, lang, category) to records with summaries and embeddings.
+
+    Cleaned texts and derived records are staged as tables, because term statistics and the embedding
+    models read them before the rows themselves are needed.
+    """
+    cleaned = materialize(clean_pages(pages, stop_words if remove_stop_words else None), "cleaned")
+    records = materialize(derive_records(summarize(cleaned, idf=idf), stop_words), "derived")
     records = embed_texts(records)
     return embed_texts(records, content="summary", output="summary_embedding")
 
@@ -100,7 +104,9 @@ def quality_pass(
     """Key hash, embeddings, fill, semantic validation, snapshot, simhash, save validation, sort.
 
     The snapshot is taken before simhash and save validation, so their removals do not show in it.
+    Records are staged as a table where several later steps read them.
     """
+    records = materialize(records, "records")
     unique, same_key = deduplicate_by_hash(records)
     distinct, similar = deduplicate_by_embedding(unique, threshold)
     filled = distinct if extra is None else complete_missing_fields(distinct, extra)
