@@ -36,8 +36,6 @@ def removed_by_first_come(edges: DataFrame, cliques: DataFrame | None = None) ->
             current.join(kept, "lo", "left").select("lo", "hi", "listed", F.col("stays").isNotNull().alias("stays")),
             "round",
         )
-        if marked.isEmpty():
-            break
         settled = marked.filter("stays")
         removed = settled.select(F.col("hi").alias("seq")).distinct()
         removed_parts.append(removed)
@@ -48,8 +46,14 @@ def removed_by_first_come(edges: DataFrame, cliques: DataFrame | None = None) ->
         )
         if cliques is not None:
             gone = removed.unionByName(settled.select(F.col("lo").alias("seq")).distinct())
-            cliques = materialize(cliques.join(gone, "seq", "left_anti").select("clique", "seq"), "cliques")
-    out = marked.select(F.col("hi").alias("seq"))
-    for part in removed_parts:
+            left = cliques.join(gone, "seq", "left_anti")
+            several = left.groupBy("clique").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("clique")
+            cliques = materialize(left.join(several, "clique").select("clique", "seq"), "cliques")
+            if cliques.isEmpty():
+                cliques = None
+        if cliques is None and marked.filter("listed AND NOT stays").isEmpty():
+            break
+    out = removed_parts[0]
+    for part in removed_parts[1:]:
         out = out.unionByName(part)
     return out
