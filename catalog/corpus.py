@@ -92,10 +92,11 @@ def clusters(spark, sf):
 
 def with_questions(spark, sf):
     """Records with the first distinct words as keywords and two entities, a suitable and another one."""
-    words = F.split("content", r"\s+")
+    words = F.col("words")
     entity = lambda i, kind: F.struct(F.get(words, F.lit(i)).alias("text"), F.lit(kind).alias("type"))
     entities = F.filter(F.array(entity(0, "PERSON"), entity(1, "DATE")), lambda e: e["text"].isNotNull())
-    base = records_base(spark, sf).withColumn("keywords", F.slice(words, 1, 7)).withColumn("summary", F.substring("content", 1, 60))
+    base = records_base(spark, sf).withColumn("words", F.split("content", r"\s+"))
+    base = base.withColumn("keywords", F.slice(words, 1, 7)).withColumn("summary", F.substring("content", 1, 60))
     return base.withColumn(
         "questions", generate_questions(F.col("title"), F.col("language"), F.col("keywords"), entities)
     ).withColumn("answers", generate_answers(F.col("content"), F.col("summary")))

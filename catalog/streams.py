@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import RECORDS_SQL, STOP_WORDS, query, record_text_sql, records_base, table
 from catalog.joins import _ALL_CATEGORIES, _ALL_LANGS, _GRID_SQL, source_jobs
 from catalog.records import page_texts
-from corpusmill.operators.summaries import idf_vector
+from corpusmill.operators.summaries import fit_idf
 from corpusmill.schema import JOB_DDL
 from corpusmill.session import new_path
 from corpusmill.streaming import streams as S
@@ -179,6 +179,6 @@ def stream_records(spark, sf):
         spark, tasks, "seq bigint, title string, text string, lang string, category string, created_at timestamp", "parquet"
     )
     path = new_path(spark, "built")
-    S.record_stream(pages, path, new_path(spark, "built-state"), STOP_WORDS, idf_vector(records_base(spark, sf)))
+    S.record_stream(pages, path, new_path(spark, "built-state"), STOP_WORDS, fit_idf(records_base(spark, sf)))
     good = spark.read.parquet(f"{path}/records").select("seq", "metadata.length")
     return good.unionByName(spark.read.parquet(f"{path}/rejects").select("seq", "metadata.length"))

@@ -23,6 +23,7 @@ from corpusmill.functions import text as X
 from corpusmill.functions.common import all_finite
 from corpusmill.functions.topics import classify_topic
 from corpusmill.operators.entities import find_entities
+from corpusmill.session import spread
 
 
 @query(
@@ -119,7 +120,8 @@ def parse_date(spark, sf):
         F.concat(F.date_format(d, "MMM"), F.lit(". "), F.date_format(d, "d"), F.lit("th, "), F.date_format(d, "yyyy")),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string"), F.lit(" of "), F.date_format(d, "MMMM")),
     )
-    rows = table(spark, sf, "orders").select("o_orderkey", F.posexplode(forms).alias("form", "written"))
+    orders = spread(table(spark, sf, "orders"), "o_orderkey")
+    rows = orders.select("o_orderkey", F.posexplode(forms).alias("form", "written"))
     return rows.select("o_orderkey", "form", dates.parse_date(F.col("written")).alias("parsed"))
 
 

@@ -53,6 +53,18 @@ _unescape = _unescape.asNondeterministic()
 _unescape_link_nfkc = _unescape_link_nfkc.asNondeterministic()
 
 
+def replace_where(text: Column, needle: str, *patterns: tuple[str, str]) -> Column:
+    """Regex replacements, skipped for texts without ``needle``: a byte search is much cheaper than a regex pass."""
+
+    def apply(t: Column) -> Column:
+        out = t
+        for pattern, replacement in patterns:
+            out = F.regexp_replace(out, pattern, replacement)
+        return F.when(F.contains(t, F.lit(needle)), out).otherwise(t)
+
+    return let(text, apply)
+
+
 def collapse_spaces(text: Column) -> Column:
     # Single plain spaces, by far the most frequent, are not touched.
     return F.trim(F.regexp_replace(text, _UNEVEN_SPACES, " "))
@@ -60,7 +72,7 @@ def collapse_spaces(text: Column) -> Column:
 
 def strip_markup(text: Column) -> Column:
     """Drop comments, script/style bodies and tags; character references stay as they are."""
-    return F.regexp_replace(F.regexp_replace(text, _HIDDEN, ""), _TAG, "")
+    return replace_where(text, "<", (_HIDDEN, ""), (_TAG, ""))
 
 
 def unescape(text: Column) -> Column:
@@ -73,14 +85,14 @@ def clean_text(text: Column) -> Column:
 
     Each step uses its input once, so nested calls do not multiply.
     """
-    bare = strip_markup(F.regexp_replace(text, _SUP, ""))
-    return collapse_spaces(F.regexp_replace(_unescape_link_nfkc(bare), _CITATION, ""))
+    bare = replace_where(text, "<", (_SUP, ""), (_HIDDEN, ""), (_TAG, ""))
+    return collapse_spaces(replace_where(_unescape_link_nfkc(bare), "[", (_CITATION, "")))
 
 
 def clean_wiki_text(text: Column) -> Column:
     """Resolve links, drop ``{{…}}`` templates (not nested) and tags, single spaces."""
-    text = F.regexp_replace(text, r"\[\[([^|\]]*\|)?([^\]]+)\]\]", "$2")
-    text = F.regexp_replace(text, r"(?s)\{\{.*?\}\}", "")
+    text = replace_where(text, "[[", (r"\[\[([^|\]]*\|)?([^\]]+)\]\]", "$2"))
+    text = replace_where(text, "{{", (r"(?s)\{\{.*?\}\}", ""))
     return collapse_spaces(unescape(strip_markup(text)))
 
 
@@ -111,13 +123,17 @@ _FOLD_MANY_PATTERN = "[" + "".join(a for a, _ in _FOLD_MANY) + "]"
 def fold_accents(text: Column) -> Column:
     """Latin text to ASCII; other scripts stay as they are."""
 
-    def many(t: Column) -> Column:
+    def several(t: Column) -> Column:
         out = t
         for a, b in _FOLD_MANY:
             out = F.replace(out, F.lit(a), F.lit(b))
         return F.when(t.rlike(_FOLD_MANY_PATTERN), out).otherwise(t)
 
-    return let(F.translate(text, _FOLD_FROM, _FOLD_TO), many)
+    def fold(t: Column) -> Column:
+        ascii_only = F.octet_length(t) == F.length(t)
+        return F.when(ascii_only, t).otherwise(let(F.translate(t, _FOLD_FROM, _FOLD_TO), several))
+
+    return let(text, fold)
 
 
 def fold_text(text: str) -> str:
@@ -154,16 +170,6 @@ def split_sentences(text: Column) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
-def _drop_sections(text: Column) -> Column:
-    def chain(t: Column) -> Column:
-        out = t
-        for name in DROPPED_SECTIONS:
-            out = F.regexp_replace(out, rf"(?iuUs)==\s*{name}\s*==.*", "")
-        return F.when(F.contains(t, F.lit("==")), out).otherwise(t)
-
-    return let(text, chain)
-
-
 def advanced_clean_text(
     text: Column,
     lang: Column,
@@ -175,10 +181,10 @@ def advanced_clean_text(
     """
     text = clean_wiki_text(text)
     text = let(text, lambda t: F.when(lang.isin("en", "de"), fold_accents(t)).otherwise(t))
-    text = F.regexp_replace(text, _CITATION, "")
+    text = replace_where(text, "[", (_CITATION, ""))
     text = F.regexp_replace(text, r"(?iuU)\b(" + "|".join(SEE_ALSO) + r")\b.*", "")
-    text = F.regexp_replace(text, r"(?s)\{\|.*?\|\}", "")
-    text = _drop_sections(text)
+    text = replace_where(text, "{|", (r"(?s)\{\|.*?\|\}", ""))
+    text = replace_where(text, "==", *[(rf"(?iuUs)==\s*{name}\s*==.*", "") for name in DROPPED_SECTIONS])
     if stop_words is not None:
         text = remove_stop_words(text, lang, stop_words)
     return F.trim(text)

@@ -53,28 +53,61 @@ def deduplicate_by_hash(records: DataFrame, seq: str = "seq") -> tuple[DataFrame
 # ---------------------------------------------------------------- simhash
 
 
-class _ShingleHashes(dict):
-    """Shingle -> last eight bytes of its md5, filled on first use."""
+def _shingle_hash(shingle: str) -> int:
+    return int.from_bytes(hashlib.md5(shingle.encode("utf-8", "surrogatepass")).digest()[-8:], "big")
 
-    def __missing__(self, shingle: str) -> int:
-        digest = hashlib.md5(shingle.encode("utf-8", "surrogatepass")).digest()
-        value = self[shingle] = int.from_bytes(digest[-8:], "big")
-        return value
 
+def _votes(shingles: list[str]) -> np.ndarray:
+    """One row of 64 bits per shingle."""
+    hashes = np.array([_shingle_hash(s) for s in shingles], dtype=">u8")
+    return np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
 
-def _simhash(text: str, known: _ShingleHashes) -> int:
-    """Sign of the summed bit votes of all overlapping four-character shingles."""
-    n = max(len(text) - 3, 1)
-    hashes = np.fromiter(map(known.__getitem__, [text[i : i + 4] for i in range(n)]), dtype=">u8", count=n)
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
+
+def _sign(votes: np.ndarray) -> int:
+    """Majority of each bit column as a signed 64-bit number."""
+    ones = votes.sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(votes)).tobytes(), "big", signed=True)
+
+
+def _simhash(text: str) -> int:
+    return _sign(_votes([text[i : i + 4] for i in range(max(len(text) - 3, 1))]))
+
+
+def _simhashes(texts: list[str]) -> list[int]:
+    """Fingerprints of several texts of basic-plane characters, each at least four long.
+
+    A shingle is then one 64-bit number, and each distinct shingle of the group is hashed once.
+    """
+    joined = "".join(texts)
+    points = np.frombuffer(joined.encode("utf-16-le", "surrogatepass"), dtype="<u2").astype(np.uint64)
+    keys = points[:-3] << 48 | points[1:-2] << 32 | points[2:-1] << 16 | points[3:]
+    distinct, place = np.unique(keys, return_inverse=True)
+    spelled = distinct.astype(">u8").tobytes().decode("utf-16-be", "surrogatepass")
+    votes = _votes([spelled[i : i + 4] for i in range(0, len(spelled), 4)])
+    ends = np.cumsum([len(t) for t in texts])
+    return [_sign(votes[place[end - len(t) : end - 3]]) for t, end in zip(texts, ends)]
+
+
+def _groups(texts: list[str], characters: int = 500_000):
+    """Runs of texts of bounded total length."""
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        group.append(text)
+        size += len(text)
+        if size >= characters:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
 
 
 @F.arrow_udf(LongType())
 def _fingerprint(texts: pa.Array) -> pa.Array:
-    # Hashes are remembered within a batch: few distinct shingles make up most of a corpus.
-    known = _ShingleHashes()
-    return pa.array([_simhash(_NOT_WORD.sub("", (t or "").lower()), known) for t in texts.to_pylist()], pa.int64())
+    words = [_NOT_WORD.sub("", (t or "").lower()) for t in texts.to_pylist()]
+    plain = [len(w) > 3 and max(w) <= "\uffff" for w in words]
+    grouped = (f for group in _groups([w for w, p in zip(words, plain) if p]) for f in _simhashes(group))
+    return pa.array([next(grouped) if p else _simhash(w) for w, p in zip(words, plain)], pa.int64())
 
 
 def simhash_fingerprints(records: DataFrame, seq: str = "seq", content: str = "content") -> DataFrame:

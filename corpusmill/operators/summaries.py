@@ -2,82 +2,84 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from corpusmill.constants import MIN_TEXT_LENGTH, SUMMARY_SENTENCES
-from corpusmill.functions.common import let
-from corpusmill.functions.keywords import tokens
-from corpusmill.functions.text import split_sentences
 
 HASH_DIGITS = 4
+_WORD = re.compile(r"[^\W_]+")
+_SENTENCE_END = re.compile(r"[.!?]+")
+
+
+class _Buckets(dict):
+    """Term -> number of its bucket: the first hex digits of its md5. Filled on first use."""
+
+    def __init__(self, digits: int):
+        self.digits = digits
+
+    def __missing__(self, term: str) -> int:
+        value = self[term] = int(hashlib.md5(term.encode("utf-8", "surrogatepass")).hexdigest()[: self.digits], 16)
+        return value
+
 
+def _document_buckets(content: str, digits: int) -> Column:
+    @F.arrow_udf(ArrayType(IntegerType()))
+    def buckets(texts: pa.Array) -> pa.Array:
+        bucket = _Buckets(digits)
+        found = [list({bucket[w] for w in _WORD.findall((t or "").lower())}) for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.int32()))
 
-def term_bucket(term: Column, digits: int = HASH_DIGITS) -> Column:
-    """Term hash: the first hex digits of its md5 as a number."""
-    return F.conv(F.substring(F.md5(term), 1, digits), 16, 10).cast("int")
+    return buckets(content)
 
 
-def idf_vector(docs: DataFrame, content: str = "content", digits: int = HASH_DIGITS) -> DataFrame:
-    """One row with the idf of every term bucket, ln((N + 1) / (df + 1)).
+def fit_idf(docs: DataFrame, content: str = "content", digits: int = HASH_DIGITS) -> np.ndarray:
+    """Inverse document frequency of every term bucket, ln((N + 1) / (df + 1)).
 
-    Its size depends on ``digits`` only, not on the corpus or its vocabulary.
+    Runs one job. Like a fitted model, the result comes to the driver; its size, 16^digits numbers, does not
+    depend on the corpus or its vocabulary. Map tasks send at most one count per bucket.
     """
-    buckets = F.array_distinct(F.transform(tokens(F.col(content)), lambda t: term_bucket(t, digits)))
-    counts = (
-        docs.select(F.explode(buckets).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
-    )
-    total = docs.agg(F.count(F.lit(1))).scalar()
-    size = 16**digits
-    dense = (
-        docs.sparkSession.range(size).select(F.col("id").cast("int").alias("bucket"))
-        .join(counts, "bucket", "left")
-        .select("bucket", F.coalesce("df", F.lit(0)).alias("df"))
-    )
-    ordered = F.sort_array(F.collect_list(F.struct("bucket", "df")))
-    return (
-        dense.agg(ordered.alias("entries"))
-        .select("entries", (total + 1).alias("n"))
-        .select(F.transform("entries", lambda e: F.log(F.col("n") / (e["df"] + 1))).alias("idf"))
-    )
+    marked = docs.select(F.explode(F.concat(_document_buckets(content, digits), F.array(F.lit(-1)))).alias("bucket"))
+    counts = marked.groupBy("bucket").agg(F.count(F.lit(1)).alias("df")).collect()
+    df = np.zeros(16**digits + 1)
+    df[[r["bucket"] for r in counts]] = [r["df"] for r in counts]
+    return np.log((df[-1] + 1) / (df[:-1] + 1))
 
 
 def summarize(
     docs: DataFrame,
     content: str = "content",
     sentences: int = SUMMARY_SENTENCES,
-    digits: int = HASH_DIGITS,
-    idf: DataFrame | None = None,
+    idf: np.ndarray | None = None,
 ) -> DataFrame:
     """Add ``summary``: the best sentences in text order, or the first characters of a text without any.
 
-    The idf vector (of ``docs``, unless one is given) enters as a scalar subquery, so scoring happens inside
-    each row: texts are never shuffled.
+    Scoring happens inside each row with the idf vector (of ``docs``, unless one is given) as a broadcast
+    variable: no text is shuffled.
     """
-    vector = (idf_vector(docs, content, digits) if idf is None else idf).scalar()
-
-    def score(sentence: Column, weights: Column) -> Column:
-        def mean(toks: Column) -> Column:
-            total = F.aggregate(
-                toks, F.lit(0.0), lambda acc, t: acc + F.get(weights, term_bucket(t, digits))
-            )
-            return F.when(F.size(toks) > 0, F.round(total / F.size(toks), 9)).otherwise(F.lit(0.0))
-
-        return let(tokens(sentence), mean)
-
-    def best(weights: Column) -> Column:
-        scored = F.transform(
-            split_sentences(F.col(content)),
-            lambda s, i: F.struct((-score(s, weights)).alias("negated"), i.alias("pos"), s.alias("text")),
-        )
-        top = F.slice(F.sort_array(scored), 1, sentences)
-        in_order = F.sort_array(F.transform(top, lambda e: F.struct(e["pos"].alias("pos"), e["text"].alias("text"))))
-        return F.array_join(F.transform(in_order, lambda e: e["text"]), " ")
-
-    summary = let(F.col("_idf"), best)
-    head = F.substring(content, 1, MIN_TEXT_LENGTH)
-    return (
-        docs.withColumn("_idf", vector)
-        .withColumn("summary", let(summary, lambda s: F.when(s == "", head).otherwise(s)))
-        .drop("_idf")
-    )
+    vector = fit_idf(docs, content) if idf is None else idf
+    digits = round(np.log2(len(vector)) / 4)
+    shared = docs.sparkSession.sparkContext.broadcast(vector)
+
+    @F.arrow_udf(StringType())
+    def summary(texts: pa.Array) -> pa.Array:
+        weights, bucket = shared.value.tolist(), _Buckets(digits)
+
+        def score(sentence: str) -> float:
+            words = _WORD.findall(sentence.lower())
+            return round(sum([weights[bucket[w]] for w in words]) / len(words), 9) if words else 0.0
+
+        def best(text: str) -> str:
+            parts = [s for p in _SENTENCE_END.split(text) if (s := p.strip())]
+            ranked = sorted(range(len(parts)), key=[-score(s) for s in parts].__getitem__)
+            return " ".join(parts[i] for i in sorted(ranked[:sentences])) or text[:MIN_TEXT_LENGTH]
+
+        return pa.array([None if t is None else best(t) for t in texts.to_pylist()], pa.string())
+
+    return docs.withColumn("summary", summary(content))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +75,7 @@ def build_records(
     pages: DataFrame,
     stop_words: dict[str, Iterable[str]],
     remove_stop_words: bool = False,
-    idf: DataFrame | None = None,
+    idf: np.ndarray | None = None,
 ) -> DataFrame:
     """Page texts (seq, title, text, lang, category) to records with summaries and embeddings.
 

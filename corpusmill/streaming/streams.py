@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,13 +45,13 @@ def run_batches(
 
 
 def record_stream(
-    pages: DataFrame, path: str, checkpoint: str, stop_words: dict[str, Iterable[str]], idf: DataFrame
+    pages: DataFrame, path: str, checkpoint: str, stop_words: dict[str, Iterable[str]], idf: np.ndarray
 ) -> StreamingQuery:
     """Page texts to ``records`` and ``rejects`` below ``path``.
 
     Each micro-batch writes its own directories by batch id, so a repeated batch replaces itself: no loss, no
     duplicates. Records that break a save rule go to ``rejects`` with their reasons. ``idf`` is a fixed
-    term-weight vector, e.g. of an earlier batch run.
+    term-weight vector fitted on an earlier batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -180,13 +180,13 @@ def _beats(spark, tmp_path):
 
 
 def test_record_stream_is_idempotent(spark, tmp_path):
-    from corpusmill.operators.summaries import idf_vector
+    from corpusmill.operators.summaries import fit_idf
 
     text = "Some sentence about rivers. Another sentence about stones and gardens. " * 5
     pages = spark.createDataFrame([(0, "A", text, "en", "c"), (1, "B", "short", "en", "c")], "seq bigint, title string, text string, lang string, category string")
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     pages.write.parquet(source)
-    idf = idf_vector(pages.withColumnRenamed("text", "content"))
+    idf = fit_idf(pages.withColumnRenamed("text", "content"))
     stream = S.read_stream(spark, source, pages.schema, "parquet")
     S.record_stream(stream, out, str(tmp_path / "ck1"), {}, idf)
     S.record_stream(S.read_stream(spark, source, pages.schema, "parquet"), out, str(tmp_path / "ck2"), {}, idf)
