@@ -35,7 +35,7 @@ def scan_records(spark, sf):
     return _plain(read_records(spark, f"{path}/jsonl", lines=True))
 
 
-@query("sink_csv", f"WITH {RECORDS_SQL} SELECT seq, title, content, to_json([language, category]) AS tags FROM records_base")
+@query("sink_csv", f"WITH {RECORDS_SQL} SELECT seq, title, content, to_json([language, category])::VARCHAR AS tags FROM records_base")
 def sink_csv(spark, sf):
     path = new_path(spark, "csv")
     tagged = records_base(spark, sf).select("seq", "title", "content", F.array("language", "category").alias("tags"))
@@ -79,7 +79,7 @@ def text_corpus(spark, sf):
     return W.text_corpus(records_base(spark, sf))
 
 
-@query("json_rows", "SELECT to_json({'s_suppkey': s_suppkey, 's_name': s_name, 's_nationkey': s_nationkey}) AS data FROM supplier")
+@query("json_rows", "SELECT to_json({'s_suppkey': s_suppkey, 's_name': s_name, 's_nationkey': s_nationkey})::VARCHAR AS data FROM supplier")
 def json_rows(spark, sf):
     return W.json_rows(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"))
 
