@@ -17,6 +17,7 @@ from catalog.base import (
 from corpusmill.constants import DEFINITION_QUESTION, ENTITY_QUESTION, KEYWORD_QUESTIONS
 from corpusmill.functions.keywords import extract_keywords
 from corpusmill.functions.questions import generate_answers, generate_questions, zip_shorter
+from corpusmill.operators.ordering import numbered
 from corpusmill.operators.summaries import summarize
 from corpusmill.operators.vectors import cluster_vectors, embed_texts
 from corpusmill.sinks import writers as W
@@ -162,11 +163,8 @@ def qa_pairs(spark, sf):
     WHERE u.role = 'user' AND a.role = 'assistant'""",
 )
 def conversation_pairs(spark, sf):
-    from pyspark.sql import Window
-
-    # Turns are numbered per conversation and role and joined, so a long conversation is never held in one cell.
-    order = F.row_number().over(Window.partitionBy("conv_id", "role").orderBy("turn")) - 1
-    turns = table(spark, sf, "conversations").withColumn("pos", order)
+    # Turns are numbered in buckets and joined, so that a very long conversation is split over tasks.
+    turns = numbered(table(spark, sf, "conversations"), "turn", "pos", ["conv_id", "role"])
     users = turns.filter("role = 'user'").select("conv_id", "pos", F.col("text").alias("question"))
     replies = turns.filter("role = 'assistant'").select("conv_id", "pos", F.col("text").alias("answer"))
     return users.join(replies, ["conv_id", "pos"])
@@ -179,17 +177,12 @@ def conversation_pairs(spark, sf):
     SELECT conv_id, turn, text AS question, reply AS answer FROM t WHERE role = 'user' AND next_role = 'assistant'""",
 )
 def conversation_zip(spark, sf):
-    from pyspark.sql import Window
-
-    turn_order = Window.partitionBy("conv_id").orderBy("turn")
-    turns = table(spark, sf, "conversations").select(
-        "conv_id", "turn", "role", "text",
-        F.lead("text").over(turn_order).alias("reply"), F.lead("role").over(turn_order).alias("next_role"),
-    )
-    single = turns.filter("role = 'user' AND next_role = 'assistant'").select(
-        "conv_id", "turn", zip_shorter(F.array("text"), F.array("reply"), "question", "answer").alias("p")
-    )
-    return single.select("conv_id", "turn", F.explode("p").alias("p")).select("conv_id", "turn", "p.question", "p.answer")
+    turns = numbered(table(spark, sf, "conversations"), "turn", "pos", ["conv_id"])
+    users = turns.filter("role = 'user'").select("conv_id", "turn", (F.col("pos") + 1).alias("pos"), F.array("text").alias("q"))
+    replies = turns.filter("role = 'assistant'").select("conv_id", "pos", F.array("text").alias("a"))
+    pairs = zip_shorter(F.col("q"), F.col("a"), "question", "answer")
+    zipped = users.join(replies, ["conv_id", "pos"]).select("conv_id", "turn", F.explode(pairs).alias("p"))
+    return zipped.select("conv_id", "turn", "p.question", "p.answer")
 
 
 @query("embedding_export", "SELECT md5('vec ' || vec_id) AS id, round(list_sum(embedding::DOUBLE[]), 4) AS total FROM embeddings")

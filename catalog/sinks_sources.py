@@ -237,7 +237,8 @@ def related(spark, sf):
       UNION ALL SELECT unnest(['infobox', 'tables']) FROM pages) GROUP BY kind""",
 )
 def all_sources(spark, sf):
-    listed = marked_pages(spark, sf).withColumn("category", F.lit("MACHINERY"))
+    segments = F.array(*[F.lit(s) for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")])
+    listed = marked_pages(spark, sf).withColumn("category", F.element_at(segments, (F.length("html") % 5 + 1).cast("int")))
     register_payload_sources(qa_payloads(spark, sf), entity_payloads(spark, sf), listed)
     categories = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("category")).distinct()
     grid = work_grid(categories.select(F.lit(None).cast("array<string>").alias("lang"), F.array("category").alias("category")), ["en", "pt"])

@@ -21,22 +21,21 @@ def final_sort(records: DataFrame, seq: str = "seq") -> DataFrame:
     return records.orderBy("language", "topic", seq)
 
 
-def numbered(df: DataFrame, seq: str, name: str, bucket_bits: int = 16) -> DataFrame:
-    """Add the zero-based position by ``seq`` without sorting all rows in one task.
+def numbered(df: DataFrame, seq: str, name: str, keys: Sequence[str] = (), bucket_bits: int = 16) -> DataFrame:
+    """Add the zero-based position by ``seq`` (per ``keys``) without sorting a whole group in one task.
 
-    Buckets are ranges of ``seq`` values, so each holds at most 2^bucket_bits rows. Only the bucket counts
-    pass through one window: rows / 65536 for a dense ``seq``.
+    Buckets are ranges of ``seq`` values, so each holds at most 2^bucket_bits rows of a group. Only the bucket
+    counts of a group pass through one window: its rows / 65536 for a dense ``seq``.
     """
-    bucket = F.shiftright(seq, bucket_bits)
-    sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
-    starts = sizes.select(
-        "_bucket", (F.sum("_rows").over(W.orderBy("_bucket")) - F.col("_rows")).alias("_start")
-    )
-    marked = df.withColumn("_bucket", bucket)
-    local = F.row_number().over(W.partitionBy("_bucket").orderBy(seq)) - 1
+    marked = df.withColumn("_bucket", F.shiftright(seq, bucket_bits))
+    place = [*keys, "_bucket"]
+    sizes = marked.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(W.partitionBy(*keys).orderBy("_bucket")) - F.col("_rows")
+    starts = sizes.select(*place, before.alias("_start"))
+    local = F.row_number().over(W.partitionBy(*place).orderBy(seq)) - 1
     return (
         marked.withColumn("_local", local)
-        .join(starts, "_bucket")
+        .join(starts, place)
         .withColumn(name, (F.col("_start") + F.col("_local")).cast("bigint"))
         .drop("_bucket", "_start", "_local")
     )

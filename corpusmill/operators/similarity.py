@@ -14,6 +14,8 @@ from corpusmill.operators.resolver import removed_by_first_come
 from corpusmill.session import materialize
 
 MAX_PIVOTS = 512
+BLOCK_ROWS = 16384
+TILE_ROWS = 1024
 SLACK = 1e-6
 _PAIR_DDL = "lo bigint, hi bigint, cosine double"
 _PAIR_ARROW = pa.schema([("lo", pa.int64()), ("hi", pa.int64()), ("cosine", pa.float64())])
@@ -120,15 +122,22 @@ def _compare(threshold: float):
         seq = group.column("seq").to_numpy()
         rows = _matrix(group.column("embedding"))
         left, right = np.nonzero(block == a)[0], np.nonzero(block == b)[0]
-        sims = rows[left] @ rows[right].T
-        i, j = np.nonzero(sims >= threshold)
-        s, t, sim = seq[left[i]], seq[right[j]], sims[i, j]
-        if a == b:
-            once = s < t
-            s, t, sim = s[once], t[once], sim[once]
-        return pa.Table.from_arrays(
-            [pa.array(np.minimum(s, t)), pa.array(np.maximum(s, t)), pa.array(sim)], schema=_PAIR_ARROW
-        )
+        others = rows[right].T
+        found = []
+        for start in range(0, len(left), TILE_ROWS):
+            tile = left[start : start + TILE_ROWS]
+            sims = rows[tile] @ others
+            i, j = np.nonzero(sims >= threshold)
+            s, t, sim = seq[tile[i]], seq[right[j]], sims[i, j]
+            if a == b:
+                once = s < t
+                s, t, sim = s[once], t[once], sim[once]
+            found.append(
+                pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(s, t)), pa.array(np.maximum(s, t)), pa.array(sim)], schema=_PAIR_ARROW
+                )
+            )
+        return pa.Table.from_batches(found, _PAIR_ARROW)
 
     return run
 
@@ -140,7 +149,7 @@ def _nonzero(vectors: DataFrame) -> DataFrame:
 def cosine_graph(
     vectors: DataFrame,
     threshold: float = EMBEDDING_THRESHOLD,
-    block_rows: int = 4096,
+    block_rows: int = BLOCK_ROWS,
     pivots: int | None = None,
     with_cliques: bool = True,
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -152,9 +161,10 @@ def cosine_graph(
       two of them are within the threshold. Clique pairs are implied and never listed, so one group holding
       a third of the table costs rows, not pairs;
     * units are cut into blocks of about ``block_rows`` rows and only block pairs that the triangle
-      inequality cannot exclude are compared, each as one matrix product of bounded size.
+      inequality cannot exclude are compared, each as matrix products of bounded size.
 
-    Work beyond the cliques is quadratic only among units that lie close together.
+    Work beyond the cliques is quadratic only among units that lie close together. Vectors without any
+    cluster structure leave nothing to exclude; for those the cost is that of all block pairs.
     """
     spark = vectors.sparkSession
     vectors = vectors.select("seq", "embedding")

@@ -223,7 +223,7 @@ def test_numbered_and_manifest(spark):
         "seq bigint, image_url string, caption string, title string",
     )
     assert rows(ordering.image_manifest(df), "file_name", "caption") == [("00000.jpg", "cap"), ("00002.jpg", "title"), ("00003.gz", "")]
-    assert rows(ordering.numbered(df, "seq", "n", 2), "seq", "n") == [(7, 0), (200000, 1), (300000, 2), (300001, 3)]
+    assert rows(ordering.numbered(df, "seq", "n", bucket_bits=2), "seq", "n") == [(7, 0), (200000, 1), (300000, 2), (300001, 3)]
 
 
 def test_entities(spark):
