@@ -15,6 +15,7 @@ from catalog.base import (
     translate_sql,
 )
 from corpusmill.constants import DEFINITION_QUESTION, ENTITY_QUESTION, KEYWORD_QUESTIONS
+from corpusmill.functions.common import explode_positions
 from corpusmill.functions.keywords import extract_keywords
 from corpusmill.functions.questions import generate_answers, generate_questions, zip_shorter
 from corpusmill.operators.ordering import numbered
@@ -43,7 +44,7 @@ def _phrases_sql(max_words: int) -> str:
 
 def _keywords(spark, sf, max_words):
     found = extract_keywords(F.col("content"), F.col("language"), STOP_WORDS, max_words=max_words)
-    return records_base(spark, sf).select("seq", F.posexplode(found).alias("rank", "phrase"))
+    return explode_positions(records_base(spark, sf), found, "seq", pos="rank", value="phrase")
 
 
 @query("extract_keywords", f"WITH {RECORDS_SQL}, {_phrases_sql(3)}")
@@ -137,13 +138,13 @@ _ANSWERS = r"""answers AS (
 
 @query("generate_questions", f"WITH {RECORDS_SQL}, {_QUESTIONS} SELECT * FROM questions")
 def questions(spark, sf):
-    rows = with_questions(spark, sf).select("seq", F.posexplode("questions").alias("pos", "q"))
+    rows = explode_positions(with_questions(spark, sf), F.col("questions"), "seq", value="q")
     return rows.select("seq", "pos", F.col("q.text").alias("question"), "q.type", "q.difficulty")
 
 
 @query("generate_answers", f"WITH {RECORDS_SQL}, {_ANSWERS} SELECT * FROM answers")
 def answers(spark, sf):
-    rows = with_questions(spark, sf).select("seq", F.posexplode("answers").alias("pos", "a"))
+    rows = explode_positions(with_questions(spark, sf), F.col("answers"), "seq", value="a")
     return rows.select("seq", "pos", F.col("a.text").alias("answer"), "a.type", "a.length")
 
 

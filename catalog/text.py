@@ -20,7 +20,7 @@ from catalog.base import (
 )
 from corpusmill.functions import dates, questions, relations
 from corpusmill.functions import text as X
-from corpusmill.functions.common import all_finite
+from corpusmill.functions.common import all_finite, explode_positions
 from corpusmill.functions.topics import classify_topic
 from corpusmill.operators.entities import find_entities
 from corpusmill.session import spread
@@ -98,9 +98,7 @@ _SENTENCES = r"""list_filter(list_transform(string_split_regex(text, '[.!?]+'),
     FROM (SELECT doc_id, {_SENTENCES} AS s FROM documents)""",
 )
 def split_sentences(spark, sf):
-    return documents(spark, sf).select(
-        "doc_id", F.posexplode(X.split_sentences(F.col("text"))).alias("pos", "sentence")
-    )
+    return explode_positions(documents(spark, sf), X.split_sentences(F.col("text")), "doc_id", value="sentence")
 
 
 @query(

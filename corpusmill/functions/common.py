@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -33,3 +33,12 @@ def by_key(key: Column, cases: dict, default: Column) -> Column:
     for name, value in cases.items():
         out = F.when(key == name, value) if out is None else out.when(key == name, value)
     return default if out is None else out.otherwise(default)
+
+
+def explode_positions(df: DataFrame, array: Column, *keys: str, pos: str = "pos", value: str = "item") -> DataFrame:
+    """One row per element with its zero-based position.
+
+    A plain explode makes the optimizer test the size of the array in a filter near the scan, which computes
+    an expensive array twice. The outer form with a test on the position computes it once.
+    """
+    return df.select(*keys, F.posexplode_outer(array).alias(pos, value)).filter(F.col(pos).isNotNull())

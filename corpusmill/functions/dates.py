@@ -21,11 +21,9 @@ _DAY_FIRST = rf"(?i)(?<!\d){_DAY}[\s-]+(?:of\s+)?{_MONTH}\.?,?[\s-]+(\d{{4}})\b"
 
 
 def _month_number(name: Column) -> Column:
-    cases = None
-    key = F.lower(F.substring(name, 1, 3))
-    for number, month in enumerate(MONTHS, 1):
-        cases = F.when(key == month, number) if cases is None else cases.when(key == month, number)
-    return cases
+    """Number of a month whose name starts with one of the three-letter abbreviations."""
+    place = F.position(F.lower(F.substring(name, 1, 3)), F.lit("".join(MONTHS)))
+    return ((place + 2) / 3).cast("int")
 
 
 def _iso(year: Column, month: Column, day: Column) -> Column:

@@ -170,6 +170,22 @@ def split_sentences(text: Column) -> Column:
     return F.filter(parts, lambda s: s != "")
 
 
+def _cut_sections(text: Column) -> Column:
+    """Cut from each dropped heading to the end, heading by heading.
+
+    One pass over all headings gives the same text unless two headings share a ``==`` mark.
+    """
+    names = "|".join(DROPPED_SECTIONS)
+    in_turn = text
+    for name in DROPPED_SECTIONS:
+        in_turn = F.regexp_replace(in_turn, rf"(?iuUs)==\s*{name}\s*==.*", "")
+    return (
+        F.when(~F.contains(text, F.lit("==")), text)
+        .when(text.rlike(rf"(?iuU)==\s*({names})\s*==\s*({names})\s*=="), in_turn)
+        .otherwise(F.regexp_replace(text, rf"(?iuUs)==\s*({names})\s*==.*", ""))
+    )
+
+
 def advanced_clean_text(
     text: Column,
     lang: Column,
@@ -184,7 +200,7 @@ def advanced_clean_text(
     text = replace_where(text, "[", (_CITATION, ""))
     text = F.regexp_replace(text, r"(?iuU)\b(" + "|".join(SEE_ALSO) + r")\b.*", "")
     text = replace_where(text, "{|", (r"(?s)\{\|.*?\|\}", ""))
-    text = replace_where(text, "==", *[(rf"(?iuUs)==\s*{name}\s*==.*", "") for name in DROPPED_SECTIONS])
+    text = let(text, _cut_sections)
     if stop_words is not None:
         text = remove_stop_words(text, lang, stop_words)
     return F.trim(text)

@@ -28,7 +28,7 @@ def find_entities(docs: DataFrame, gazetteer: DataFrame, max_words: int = 3) ->
     )
     found = (
         docs.select("seq", toks.alias("toks"))
-        .select("seq", F.explode(grams).alias("g"))
+        .select("seq", F.explode_outer(grams).alias("g"))  # outer: the grams are computed once
         .select("seq", "g.pos", "g.text")
     )
     names = gazetteer.groupBy(F.col("name").alias("text")).agg(F.min("type").alias("type"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusmill.functions.common import explode_positions
 from corpusmill.functions.questions import zip_shorter
 from corpusmill.functions.text import clean_text
 
@@ -62,7 +63,7 @@ def qa_pairs(records: DataFrame, *keys: str) -> DataFrame:
         "question",
         "answer",
     )
-    return records.select(*keys, F.posexplode(pairs).alias("pos", "p")).select(*keys, "pos", "p.question", "p.answer")
+    return explode_positions(records, pairs, *keys, value="p").select(*keys, "pos", "p.question", "p.answer")
 
 
 def embedding_export(records: DataFrame) -> DataFrame:

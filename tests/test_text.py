@@ -30,6 +30,9 @@ def test_advanced_clean(one):
     assert out == "Something =="
     out = one(lambda t: X.advanced_clean_text(t, F.lit("de")), t="Größe übel [3]")
     assert out == "Grosse ubel"
+    shared = "a == bibliography == references == b"
+    assert one(lambda t: X.advanced_clean_text(t, F.lit("en")), t=shared) == "a == bibliography"
+    assert one(lambda t: X.advanced_clean_text(t, F.lit("en")), t="a == x == y == References == b") == "a == x == y"
     assert one(lambda t: X.advanced_clean_text(t, F.lit("es")), t="año VÉASE TAMBIÉN otro") == "año"
 
 
@@ -64,6 +67,8 @@ def test_parse_date(one):
         "25/12/2021": "2021-12-25",
         "20240229": "2024-02-29",
         "March 2020": "",
+        **{f"5 {m} 2001": f"2001-{i:02d}-05" for i, m in enumerate(
+            "January February March April May June July August Sept October Nov December".split(), 1)},
         "": "",
         "nothing": "",
     }
