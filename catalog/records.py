@@ -8,7 +8,6 @@ from catalog.base import (
     RECORDS_SQL,
     STOP_WORDS,
     clean_sql,
-    fold_sql,
     lit,
     query,
     record_text_sql,
