@@ -11,7 +11,7 @@ are equal (pigeonhole). Documents that share the value of a block meet; nothing
   one of the two sets. A set with too many deals its elements again by another hash, until a deal has few enough; it
   takes part in all deals up to that one. For any pair the earlier of the two last deals holds for both.
 * A second, 512-bit parity sketch travels with each set; its Hamming distance is a lower bound of the difference, and
-  drops candidates before any set is read.
+  drops candidates before any set is read. A wider one does so for large sets before whole sets are sent.
 
 Sets with equal elements are one class and are compared once. Blocks of equal value form a bucket. The first pass only
 ties each member to the bucket's hub; a class is verified against the hub it shares most blocks with, and verified links
@@ -43,7 +43,11 @@ SHINGLE = 5
 SIMILARITY = (80, 100)
 SKETCH_BITS = 512
 BUCKET_KEYS = 250_000  # block values in one shuffled bucket
+FOLD_KEYS = 400_000  # block values folded at a time in a map task
+UNIT_ROWS = 20_000  # members that one comparing task call gets
 COMPARE = 2_048  # members compared with each other in one unit of a large bucket
+WIDE_BITS = 8_192
+BITS_EACH, MOST_BITS = 64, 1 << 27  # bitmaps of wanted rows: at most 16 MB
 VERIFY = 64  # members verified against one hub in one unit
 
 _LANES = SKETCH_BITS // 64
@@ -82,21 +86,26 @@ def parity_sketch(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8).reshape(n, SKETCH_BITS), axis=1, bitorder="little").view(np.uint64)
 
 
-def bands(sizes: np.ndarray, similarity=SIMILARITY) -> list[tuple[np.ndarray, int, int]]:
-    """The bands that the sets take part in: (indexes of sets, name of the band, most difference in it)."""
+def bands(sizes: np.ndarray, similarity=SIMILARITY) -> list[tuple[np.ndarray, int, int, int]]:
+    """The bands that the sets take part in: (indexes of sets, name of the band, most difference in it, blocks).
+
+    Blocks beyond the difference are chosen so that the smallest sets of a band rarely have too many empty ones.
+    """
     part, whole = similarity
     out = []
     level = np.where(sizes > 0, np.floor(np.log2(np.maximum(sizes, 1))).astype(int), -1)
     for j in np.unique(level[level >= 0]):
         top = 1 << (int(j) + 1)
-        out.append((np.flatnonzero(level == j), 2 * int(j), int(most_difference(2 * (top - 1), similarity))))
+        k = int(most_difference(2 * (top - 1), similarity))
+        out.append((np.flatnonzero(level == j), 2 * int(j), k, k + 1 + k // 4 + (k > 0)))
     for j in range(1, int(level.max(initial=0)) + 2):
         border = 1 << j
         # a < border <= b with part * b <= whole * a
         near = np.flatnonzero((whole * sizes >= part * border) & (part * sizes <= whole * (border - 1)))
         if len(near):
             most = border - 1 + whole * (border - 1) // part
-            out.append((near, 2 * j + 1, int(most_difference(most, similarity))))
+            k = int(most_difference(most, similarity))
+            out.append((near, 2 * j + 1, k, k + 1 + k // 10 + (k > 0)))
     return out
 
 
@@ -105,8 +114,7 @@ def block_keys(values: np.ndarray, row: np.ndarray, n: int, similarity=SIMILARIT
     sizes = np.bincount(row, minlength=n)
     at = np.searchsorted(row, np.arange(n + 1))
     keys, owners = [], []
-    for members, name, most in bands(sizes, similarity):
-        blocks = most + 1 + most // 7 + (most > 0)
+    for members, name, most, blocks in bands(sizes, similarity):
         deal = 0
         while len(members):
             place = np.repeat(np.arange(len(members)), sizes[members])
@@ -161,20 +169,50 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def _packed(*arrays: np.ndarray) -> bytes:
-    return b"".join(np.ascontiguousarray(a).view(np.uint8).tobytes() for a in arrays)
+def _packed(keys: np.ndarray, *others: np.ndarray) -> bytes:
+    """Arrays of 64-bit numbers as bytes, the first one cut to 40 bits.
+
+    Within a bucket of bounded size so few bits tell keys apart; where they do not, verification does.
+    """
+    return b"".join([(keys & _LOW).astype(np.uint32).tobytes(), (keys >> np.uint64(32)).astype(np.uint8).tobytes(), *(x.tobytes() for x in others)])
 
 
 def _unpacked(data: bytes, parts: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint64).reshape(parts, -1)
+    n = len(data) // (5 + 8 * (parts - 1))
+    out = np.empty((parts, n), np.uint64)
+    out[0] = np.frombuffer(data, np.uint32, n) | (np.frombuffer(data, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
+    for k in range(1, parts):
+        out[k] = np.frombuffer(data[5 * n + 8 * n * (k - 1) : 5 * n + 8 * n * k], np.uint64)
+    return out
+
+
+_LOW = np.uint64(0xFFFFFFFF)
+_KEY_BITS = np.uint64(40)
 
 
 def bucket_rows(docs: DataFrame, text_col: str, shingle: int, similarity, n_buckets: int) -> DataFrame:
-    """Packed (key, hub) arrays by bucket, folded within each batch; what was folded goes along as (key, member, hub)."""
+    """Packed (key, hub) arrays by bucket, folded some texts at a time; what was folded goes along as (key, member, hub)."""
+
+    def folded_rows(keys: list[np.ndarray], members: list[np.ndarray]) -> pa.RecordBatch:
+        hub_keys, hubs, rest = star(np.concatenate(keys), np.concatenate(members))
+        where, kind, data = [], [], []
+        for number, columns in enumerate(((hub_keys, hubs), rest)):
+            # The high bits name the bucket, the low ones the key in it.
+            bucket = ((columns[0] >> _KEY_BITS) % np.uint64(n_buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bucket, columns = bucket[order], [c[order] for c in columns]
+            names, begin = np.unique(bucket, return_index=True)
+            for name, lo, hi in zip(names, begin, np.append(begin[1:], len(bucket))):
+                where.append(int(name))
+                kind.append(number)
+                data.append(_packed(*(c[lo:hi] for c in columns)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(where, pa.int64()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], ["bucket", "kind", "data"]
+        )
 
     def run(batches):
         for batch in batches:
-            key_parts, member_parts = [], []
+            keys, members, held = [], [], 0
             for _, raw, at in chunks(batch.column(0)):
                 n = len(at) - 1
                 values, row = sets_of(raw, at, shingle)
@@ -183,43 +221,32 @@ def bucket_rows(docs: DataFrame, text_col: str, shingle: int, similarity, n_buck
                 first = np.zeros(n, bool)
                 first[np.unique(one, return_index=True)[1]] = True
                 lead = first[row]
-                keys, owner = block_keys(values[lead], row[lead], n, similarity)
-                key_parts.append(keys)
-                member_parts.append(one[owner])
-            if not key_parts:
-                continue
-            keys, hubs, folded = star(np.concatenate(key_parts), np.concatenate(member_parts))
-            bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            keys, hubs, bucket = keys[order], hubs[order], bucket[order]
-            names, begin = np.unique(bucket, return_index=True)
-            ends = np.append(begin[1:], len(bucket))
-            where = [int(x) for x in names]
-            kind = [0] * len(where)
-            data = [_packed(keys[a:b], hubs[a:b]) for a, b in zip(begin, ends)]
-            for lo in range(0, len(folded[0]), BUCKET_KEYS // 4):
-                part = [x[lo : lo + BUCKET_KEYS // 4] for x in folded]
-                where.append(int(part[0][0] % np.uint64(n_buckets)))
-                kind.append(1)
-                data.append(_packed(*part))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(where, pa.int64()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], ["bucket", "kind", "data"]
-            )
+                found, owner = block_keys(values[lead], row[lead], n, similarity)
+                keys.append(found)
+                members.append(one[owner])
+                held += len(found)
+                if held >= FOLD_KEYS:
+                    yield folded_rows(keys, members)
+                    keys, members, held = [], [], 0
+            if held:
+                yield folded_rows(keys, members)
 
     return docs.select(text_col).mapInArrow(run, "bucket long, kind int, data binary")
 
 
 def _ties(table: pa.Table) -> pa.Table:
-    """One bucket range: (key, member, hub) of all keys with several members."""
+    """One bucket: (key, member, hub) of all keys with several members."""
+    bucket = np.uint64(table.column("bucket")[0].as_py())
     kinds = table.column("kind").to_numpy()
     data = table.column("data").to_pylist()
-    whole = [_unpacked(d, 2) for d, k in zip(data, kinds) if k == 0]
     done = [_unpacked(d, 3) for d, k in zip(data, kinds) if k == 1]
+    whole = [_unpacked(d, 2) for d, k in zip(data, kinds) if k == 0]
     if whole:
-        _, _, rest = star(np.concatenate([w[0] for w in whole]), np.concatenate([w[1] for w in whole]))
+        _, _, rest = star(*np.concatenate(whole, 1))
         done.append(np.stack(rest))
-    out = np.concatenate(done, 1).view(np.int64)
-    return pa.table({"key": out[0], "member": out[1], "hub": out[2]})
+    out = np.concatenate(done, 1)
+    keys = mix(out[0] | (bucket << _KEY_BITS))
+    return pa.table({"key": keys.view(np.int64), "member": out[1].view(np.int64), "hub": out[2].view(np.int64)})
 
 
 def _lanes(prefix: str) -> list[Column]:
@@ -241,72 +268,126 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     ``VERIFY`` members, so no task holds more than one unit and two sets.
     """
     sides = pairs.select(F.col("member").alias("class")).union(pairs.select(F.col("hub").alias("class"))).distinct()
-    wanted = classes.join(sides, "class", "left_semi").select(F.col("first").alias("wanted")).distinct()
-    texts = docs.join(wanted, docs[id_col].eqNullSafe(wanted["wanted"]), "left_semi")
-    held = materialize(_held_sets(texts.select(text_col), shingle), "sets")
+    wanted = materialize(classes.join(sides, "class", "left_semi").select("class", F.xxhash64("first").alias("row")), "wanted")
+    rows = docs.select(F.xxhash64(id_col).alias("row"), F.col(text_col).alias("text"))
+    held = materialize(_held_sets(rows, shingle, bitmap(wanted, "row"), bitmap(wanted, "class")), "sets")
+    part, whole = similarity
+
+    def sketches_fit(a: np.ndarray, b: np.ndarray) -> bool:
+        distance = int(np.bitwise_count(a[1:] ^ b[1:]).sum())
+        return (whole + part) * distance <= (whole - part) * int(a[0] + b[0])
+
+    def sets_fit(a: np.ndarray, b: np.ndarray) -> bool:
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return whole * common >= part * (len(a) + len(b) - common)
+
+    possible = materialize(_compared(pairs, held, "sketch", sketches_fit), "possible_pairs")
+    return _compared(possible, held, "set", sets_fit)
+
+
+def _compared(pairs: DataFrame, held: DataFrame, column: str, fit) -> DataFrame:
+    """The pairs whose two arrays of ``column`` fit; in units of one hub and about ``VERIFY`` members."""
     unit = F.pmod(F.xxhash64("member"), F.col("units"))
-    sized = pairs.join(pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / VERIFY).alias("units")), "hub").select("member", "hub", unit.alias("unit"))
-    sized = materialize(sized, "pairs")
-    members = sized.join(held, sized["member"] == held["class"]).select("hub", "unit", "member", "set")
+    units = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / VERIFY).alias("units"))
+    sized = pairs.join(units, "hub").select("member", "hub", unit.alias("unit"))
+    members = sized.join(held, sized["member"] == held["class"]).select("hub", "unit", "member", F.col(column).alias("data"))
     hubs = sized.select("hub", "unit").distinct().join(held, sized["hub"] == held["class"]).select(
-        "hub", "unit", F.lit(None).cast("long").alias("member"), "set"
+        "hub", "unit", F.lit(None).cast("long").alias("member"), F.col(column).alias("data")
     )
-    part, whole = similarity
 
     def run(table: pa.Table) -> pa.Table:
         names = table.column("member").to_pylist()
-        data = table.column("set").to_pylist()
-        hub = next((np.frombuffer(d, np.uint64) for n, d in zip(names, data) if n is None), None)
-        linked = []
-        for name, packed in zip(names, data):
-            if name is None or hub is None:
-                continue
-            other = np.frombuffer(packed, np.uint64)
-            common = len(np.intersect1d(hub, other, assume_unique=True))
-            if whole * common >= part * (len(hub) + len(other) - common):
-                linked.append(name)
-        return pa.table({"member": pa.array(linked, pa.int64()), "hub": pa.array([table.column("hub")[0].as_py()] * len(linked), pa.int64())})
+        data = [np.frombuffer(x, np.uint64) for x in table.column("data").to_pylist()]
+        hub = next((d for n, d in zip(names, data) if n is None), None)
+        good = [n for n, d in zip(names, data) if n is not None and hub is not None and fit(hub, d)]
+        return pa.table({"member": pa.array(good, pa.int64()), "hub": pa.array(table.column("hub").to_pylist()[:1] * len(good), pa.int64())})
 
     return members.union(hubs).groupBy("hub", "unit").applyInArrow(run, "member long, hub long")
 
 
-def _held_sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """Class and packed set of each text. Where an id has several texts, sets that nobody asked for come along."""
+def bitmap(table: DataFrame, column: str) -> np.ndarray:
+    """Bits of a column of numbers, about ``BITS_EACH`` for each row but never more than ``MOST_BITS`` in all.
+
+    Says for certain that a number is not in the column. Beyond the bound it fills up and excludes less.
+    """
+    bits = 64
+    while bits < min(MOST_BITS, BITS_EACH * table.count()):
+        bits *= 2
+    bit = F.pmod(F.col(column), F.lit(bits))
+    words = table.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod({column}, 64) as int))").alias("mask"))
+    rows = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def may_hold(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    place = numbers.view(np.uint64) % np.uint64(64 * len(bits))
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _held_sets(rows: DataFrame, shingle: int, row_bits: np.ndarray, class_bits: np.ndarray) -> DataFrame:
+    """Class and packed set of the rows that the two bitmaps let pass; sets that nobody asked for may come along.
+
+    Texts stay where they are: joining them with the wanted ids would shuffle every text.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((row_bits, class_bits))
 
     def run(batches):
+        row_bits, class_bits = shared.value
         for batch in batches:
-            for _, raw, at in chunks(batch.column(0)):
+            batch = batch.filter(pa.array(may_hold(row_bits, batch.column(0).to_numpy())))
+            for _, raw, at in chunks(batch.column(1)):
                 n = len(at) - 1
                 values, row = sets_of(raw, at, shingle)
                 _, one, _ = class_hashes(values, row, n)
                 ends = np.searchsorted(row, np.arange(n + 1))
-                data = [values[a:b].tobytes() for a, b in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(data, pa.binary())], ["class", "set"])
+                asked = np.flatnonzero(may_hold(class_bits, one))
+                data = [values[ends[i] : ends[i + 1]] for i in asked]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one[asked].view(np.int64)), pa.array([wide_sketch(d) for d in data], pa.binary()), pa.array([d.tobytes() for d in data], pa.binary())],
+                    ["class", "sketch", "set"],
+                )
 
-    return texts.mapInArrow(run, "class long, set binary")
+    return rows.mapInArrow(run, "class long, sketch binary, set binary")
+
+
+def wide_sketch(values: np.ndarray) -> bytes:
+    """The set's size and a parity sketch of ``WIDE_BITS``, for sets that fill the narrow one."""
+    bit = (mix(values ^ np.uint64(0x27220A95FE7D1A05)) % np.uint64(WIDE_BITS)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=WIDE_BITS) & 1).astype(np.uint8)
+    return np.uint64(len(values)).tobytes() + np.packbits(odd).tobytes()
 
 
 def _across(table: pa.Table, similarity) -> pa.Table:
-    """Members of one unit that may be similar and are in different components."""
+    """Members of one unit that may be similar and are in different components; for many units at once.
+
+    Rows are ordered by unit, and each is held against the next, the second next and so on, all units in step. In a unit
+    of two parts only members of different parts meet.
+    """
     part, whole = similarity
-    col = {n: table.column(n).to_numpy() for n in ("member", "comp", "n", "side")}
-    sketch = np.stack([table.column(f"s{i}").to_numpy() for i in range(_LANES)], 1).view(np.uint64)
-    # Sides 0 and 1 face each other; a unit of one side only compares within it.
-    left = np.flatnonzero(col["side"] == 0)
-    right = np.flatnonzero(col["side"] == 1)
-    within = not len(right)
-    right = left if within else right
+    col = {n: table.column(n).to_numpy() for n in ("key", "i", "j", "side", "member", "comp", "n")}
+    order = np.lexsort((col["side"], col["j"], col["i"], col["key"]))
+    col = {n: x[order] for n, x in col.items()}
+    sketch = np.stack([table.column(f"s{i}").to_numpy()[order] for i in range(_LANES)], 1).view(np.uint64)
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(col["key"]) != 0) | (np.diff(col["i"]) != 0) | (np.diff(col["j"]) != 0)
+    begin = np.flatnonzero(new)
+    end = np.append(begin[1:], len(order))[np.cumsum(new) - 1]
     found = []
-    for i, a in enumerate(left):
-        others = right[i + 1 :] if within else right
-        n, m = int(col["n"][a]), col["n"][others]
-        fit = (col["comp"][others] != col["comp"][a]) & (whole * m >= part * n) & (whole * n >= part * m)
-        others = others[fit]
-        if len(others):
-            distance = np.bitwise_count(sketch[others] ^ sketch[a]).sum(1)
-            others = others[(whole + part) * distance <= (whole - part) * (n + col["n"][others])]
-            found += [(col["member"][a], col["member"][b]) for b in others]
-    pairs = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1)
+    left, step = np.arange(len(order)), 1
+    while len(left := left[left + step < end[left]]):
+        a, b = left, left + step
+        n, m = col["n"][a], col["n"][b]
+        fit = (col["comp"][a] != col["comp"][b]) & (whole * m >= part * n) & (whole * n >= part * m)
+        fit &= (col["i"][a] == col["j"][a]) | (col["side"][a] != col["side"][b])
+        a, b = a[fit], b[fit]
+        distance = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
+        near = (whole + part) * distance <= (whole - part) * (col["n"][a] + col["n"][b])
+        found.append(np.stack([col["member"][a[near]], col["member"][b[near]]], 1))
+        step += 1
+    pairs = np.sort(np.concatenate(found), axis=1) if found else np.zeros((0, 2), np.int64)
+    pairs = np.unique(pairs, axis=0)
     return pa.table({"member": pairs[:, 1], "hub": pairs[:, 0]})
 
 
@@ -328,7 +409,10 @@ def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarit
         F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
         (F.col("part") > F.col("other")).cast("int").alias("side"),
     )
-    return units.groupBy("key", "i", "j").applyInArrow(lambda t: _across(t, similarity), "member long, hub long").distinct()
+    # Small units share a call; a unit is never split, and has at most two parts.
+    slots = F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, inside.count() // UNIT_ROWS)))
+    compared = units.groupBy(slots.alias("slot")).applyInArrow(lambda t: _across(t, similarity), "member long, hub long")
+    return compared.distinct()
 
 
 def near_duplicates(
