@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.constants import EMBEDDING_THRESHOLD
 from corpusmill.operators.resolver import removed_by_first_come
+from corpusmill.functions.common import all_finite
 from corpusmill.session import materialize
 
 MAX_PIVOTS = 512
@@ -143,7 +144,8 @@ def _compare(threshold: float):
 
 
 def _nonzero(vectors: DataFrame) -> DataFrame:
-    return vectors.filter(F.exists("embedding", lambda x: x != 0))
+    """Vectors that can be similar to something: no null, NaN or infinite element, and not all zero."""
+    return vectors.filter(F.exists("embedding", lambda x: x != 0) & all_finite(F.col("embedding")))
 
 
 def cosine_graph(

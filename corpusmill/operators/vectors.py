@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.constants import CLUSTER_K, CLUSTER_SEED
+from corpusmill.functions.common import all_finite
 from corpusmill.functions.keywords import tokens
 
 
@@ -34,12 +35,16 @@ def embed_texts(
 def cluster_vectors(
     records: DataFrame, embedding: str = "content_embedding", k: int = CLUSTER_K, seed: int = CLUSTER_SEED
 ) -> DataFrame:
-    """Add ``cluster``: k-means on unit vectors; all 0 when there are fewer usable rows than clusters."""
-    usable = records.filter(F.exists(embedding, lambda x: x != 0))
+    """Add ``cluster``: k-means on unit vectors; all 0 when there are fewer usable rows than clusters.
+
+    Rows with a missing, all-zero or non-finite vector are not fitted; beside a fitted model their cluster is null.
+    """
+    good = F.coalesce(F.exists(embedding, lambda x: x != 0) & all_finite(F.col(embedding)), F.lit(False))
+    usable = records.filter(good)
     if usable.limit(k).count() < k:
         return records.withColumn("cluster", F.lit(0))
     norm = Normalizer(inputCol="_raw", outputCol="_unit")
     train = norm.transform(usable.select(array_to_vector(F.col(embedding)).alias("_raw")))
     model = KMeans(k=k, seed=seed, featuresCol="_unit", predictionCol="cluster").fit(train)
-    scored = norm.transform(records.withColumn("_raw", array_to_vector(F.col(embedding))))
-    return model.transform(scored).drop("_raw", "_unit")
+    scored = model.transform(norm.transform(usable.withColumn("_raw", array_to_vector(F.col(embedding))))).drop("_raw", "_unit")
+    return scored.unionByName(records.filter(~good).withColumn("cluster", F.lit(None).cast("int")))

@@ -77,7 +77,7 @@ def crawl_links(
     ``path`` is the list of link positions on a page's first path; (depth, path) is the order of opening.
     """
     blocked = F.col("title").isin(list(visited)) if visited else F.lit(False)
-    edges = links.select("src", "pos", "url", F.col("dst").alias("title"))
+    edges = links.filter(F.col("dst").isNotNull()).select("src", "pos", "url", F.col("dst").alias("title"))
     opened = (
         starts.select("start").distinct()
         .select("start", F.col("start").alias("title"))

@@ -34,7 +34,9 @@ def read_records(spark: SparkSession, path: str, lines: bool = False, missing_ok
 
 def _struct_or_text(item: Column, ddl: str) -> Column:
     plain = F.from_json(F.to_json(F.struct(item.alias("text"))), ddl)
-    return F.when(F.startswith(item, F.lit("{")), F.from_json(item, ddl)).otherwise(plain)
+    # Malformed JSON parses to nulls only; such an item is plain text that happens to start with a brace.
+    parsed = F.when(F.startswith(item, F.lit("{")) & F.get_json_object(item, "$").isNotNull(), F.from_json(item, ddl))
+    return F.coalesce(parsed, plain)
 
 
 def read_url_list(spark: SparkSession, path: str, marker: str = WIKI_MARKER) -> DataFrame:
