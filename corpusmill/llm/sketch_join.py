@@ -14,9 +14,9 @@ are equal (pigeonhole). Documents that share the value of a block meet; nothing
   drops candidates before any set is read. A wider one does so for large sets before whole sets are sent.
 
 Sets with equal elements are one class and are compared once. Blocks of equal value form a bucket. The first pass only
-ties each member to the bucket's hub; a class is verified against the hub it shares most blocks with, and verified links
-give components. The second pass looks at buckets that still hold several components and compares members of different
-ones, blockwise where a bucket is large. Pairs within a component are never formed, so a group of thousands of near
+ties each member to the bucket's hub; a class is verified against one of the hubs it shares most blocks with, and verified
+links give components. The second pass looks at buckets that still hold several components and compares members of
+different ones, once for all buckets with the same members, and blockwise where a bucket is large. Pairs within a component are never formed, so a group of thousands of near
 copies costs one link each, yet no link between components is missed.
 
 Hot keys: equal blocks are folded within each map task, so a bucket gets at most one row per input batch; numbers are
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,7 @@ UNIT_ROWS = 20_000  # members that one comparing task call gets
 COMPARE = 2_048  # members compared with each other in one unit of a large bucket
 WIDE_BITS = 8_192
 BITS_EACH, MOST_BITS = 64, 1 << 27  # bitmaps of wanted rows: at most 16 MB
+HUBS = 3  # hubs that a member tries before the crossing pairs
 VERIFY = 64  # members verified against one hub in one unit
 
 _LANES = SKETCH_BITS // 64
@@ -399,18 +400,29 @@ def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarit
     rows = ties.join(mixed, "key", "left_semi")
     inside = rows.select("key", "member").union(rows.select("key", F.col("hub").alias("member"))).distinct()
     inside = materialize(inside, "mixed")
-    counts = inside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / COMPARE).alias("parts"))
+    hashed = F.xxhash64("member")
+    buckets = inside.groupBy("key").agg(
+        F.count(F.lit(1)).alias("size"), F.min("member").alias("first"),
+        F.bit_xor(hashed).alias("mark"), F.bit_xor(F.xxhash64(hashed, F.lit(1))).alias("mark2"),
+    )
+    # Buckets with the same members ask for the same pairs; one of them is enough.
+    buckets = buckets.groupBy("size", "first", "mark", "mark2").agg(F.min("key").alias("key"))
+    buckets = materialize(buckets.select("key", "size", "first", F.ceil(F.col("size") / COMPARE).alias("parts")), "buckets")
+    # Buckets with the same first member stay together, up to a number of rows, for a pair tends to share many of them.
+    heads = buckets.groupBy("first").agg(F.ceil(F.sum(F.col("size") * F.col("parts")) / UNIT_ROWS).alias("shares"))
+    home = buckets.join(heads, "first").select("key", "parts", F.xxhash64("first", F.pmod(F.xxhash64("key"), F.col("shares"))).alias("home"))
     lanes = [f"s{i}" for i in range(_LANES)]
     info = classes.join(comps, "class").select(F.col("class").alias("member"), F.col("root").alias("comp"), "n", *lanes)
-    dealt = inside.join(counts, "key").join(info, "member").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")))
+    dealt = inside.join(home, "key").join(info, "member").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")))
     # Each part meets itself and every other part once: unit (i, j) with i <= j, its members on side 0 (i) or 1 (j).
     units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
-        "key", "member", "comp", "n", *lanes,
+        "key", "home", "member", "comp", "n", *lanes,
         F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
         (F.col("part") > F.col("other")).cast("int").alias("side"),
     )
     # Small units share a call; a unit is never split, and has at most two parts.
-    slots = F.pmod(F.xxhash64("key", "i", "j"), F.lit(max(1, inside.count() // UNIT_ROWS)))
+    rows = buckets.agg(F.sum(F.col("size") * F.col("parts"))).first()[0] or 0
+    slots = F.pmod(F.xxhash64("home", "i", "j"), F.lit(max(1, rows // UNIT_ROWS)))
     compared = units.groupBy(slots.alias("slot")).applyInArrow(lambda t: _across(t, similarity), "member long, hub long")
     return compared.distinct()
 
@@ -449,6 +461,9 @@ def _components(docs, classes, total, id_col, text_col, shingle, similarity) ->
         "ties",
     )
     pairs = ties.groupBy("member", "hub").count()
+    # A member tries the hubs it shares most blocks with; what they miss is left to the crossing pairs.
+    rank = F.row_number().over(Window.partitionBy("member").orderBy(F.desc("count"), "hub"))
+    pairs = pairs.withColumn("rank", rank).filter(F.col("rank") <= HUBS)
     near = _with_sketches(pairs, classes).filter(may_be_similar("a", "b", similarity)).select("member", "hub", "count")
     best = near.groupBy("member").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
     proof = lambda p, name: materialize(verify(p, classes, docs, id_col, text_col, shingle, similarity), name)
