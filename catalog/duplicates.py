@@ -6,30 +6,45 @@ from pyspark.sql import functions as F
 
 from catalog.base import RECORDS_SQL, query, records_base, table
 from catalog.records import checked_records
+from corpusmill.constants import HASH_PREFIX
 from corpusmill.operators import dedup as D
 from corpusmill.operators import similarity as S
 from corpusmill.operators.stats import removal_accounting
 
 
 def anonymous(spark, sf):
-    """Records without id and title, so that the key is the start of the text."""
+    """Records without id and title, so that the key is the language and the text."""
     return records_base(spark, sf).withColumn("id", F.lit(None).cast("string")).withColumn("title", F.lit(""))
 
 
-_KEY = "md5('_' || language || substr(content, 1, 50))"
+_KEY = "md5('_' || language || content)"
 
 
-@query("hash_key", f"WITH {RECORDS_SQL} SELECT seq, md5(id || substr(content, 1, 50)) AS key FROM records_base")
+@query("hash_key", f"WITH {RECORDS_SQL} SELECT seq, md5(id || content) AS key FROM records_base")
 def hash_key(spark, sf):
     key = D.hash_key(F.col("id"), F.col("title"), F.col("language"), F.col("content"))
     return records_base(spark, sf).select("seq", key.alias("key"))
 
 
+@query("hash_key_prefix", f"WITH {RECORDS_SQL} SELECT seq, md5(id || substr(content, 1, 50)) AS key FROM records_base")
+def hash_key_prefix(spark, sf):
+    key = D.hash_key(F.col("id"), F.col("title"), F.col("language"), F.col("content"), HASH_PREFIX)
+    return records_base(spark, sf).select("seq", key.alias("key"))
+
+
 @query("deduplicate_by_hash", f"WITH {RECORDS_SQL} SELECT min(seq) AS seq FROM records_base GROUP BY {_KEY}")
 def by_hash(spark, sf):
     return D.deduplicate_by_hash(anonymous(spark, sf))[0].select("seq")
 
 
+@query(
+    "deduplicate_by_hash_prefix",
+    f"WITH {RECORDS_SQL} SELECT min(seq) AS seq FROM records_base GROUP BY md5('_' || language || substr(content, 1, 50))",
+)
+def by_hash_prefix(spark, sf):
+    return D.deduplicate_by_hash(anonymous(spark, sf), prefix=HASH_PREFIX)[0].select("seq")
+
+
 @query("first_occurrence", f"WITH {RECORDS_SQL} SELECT min(seq) AS seq FROM records_base GROUP BY language, length(content)")
 def first_occurrence(spark, sf):
     return D.first_per_key(records_base(spark, sf), F.concat_ws("|", "language", F.length("content")))

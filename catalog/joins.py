@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.base import RECORDS_SQL, query, records_base, table
-from corpusmill.constants import NS_CATEGORY, NS_MAIN
+from corpusmill.constants import MAX_PAGES, NS_CATEGORY, NS_MAIN
 from corpusmill.operators import quality as Q
 from corpusmill.operators.categories import work_grid
 from corpusmill.operators.fill import complete_missing_fields, last_good, unexpired
@@ -114,18 +114,23 @@ def namespace_category(spark, sf):
     return Q.category_pages(membership(spark, sf)).select("parent", "member")
 
 
-@query(
-    "category_members",
-    f"""WITH RECURSIVE {_MEMBERSHIP}, walk AS (
+_MEMBERS_SQL = f"""WITH RECURSIVE {_MEMBERSHIP}, walk AS (
       SELECT r_name AS root, r_name AS category, 0 AS depth, member, ns, url, [pos] AS path FROM region JOIN membership ON parent = r_name
       UNION ALL SELECT root, m.parent, depth + 1, m.member, m.ns, m.url, list_append(path, m.pos)
       FROM walk w JOIN membership m ON m.parent = replace(w.member, 'Category:', '') WHERE w.ns = 14 AND w.depth < 3),
     pages AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path) AS rank FROM walk WHERE ns = 0)
-    SELECT root, member AS title, url, category, depth FROM pages WHERE rank <= 1000""",
-)
-def members(spark, sf):
+    SELECT root, member AS title, url, category, depth FROM pages"""
+
+
+@query("category_members", _MEMBERS_SQL)
+def members(spark, sf, cap=None):
     roots = table(spark, sf, "region").select(F.col("r_name").alias("root"))
-    return category_members(membership(spark, sf), roots).drop("path")
+    return category_members(membership(spark, sf), roots, cap=cap).drop("path")
+
+
+@query("category_members_capped", f"{_MEMBERS_SQL} WHERE rank <= {MAX_PAGES}")
+def members_capped(spark, sf):
+    return members(spark, sf, MAX_PAGES)
 
 
 def order_part_links(spark, sf):
@@ -150,20 +155,25 @@ def dearest_orders(spark, sf):
     ).select(F.concat(F.lit("Order "), "k").alias("start"))
 
 
-@query(
-    "crawl_links",
-    """WITH pairs AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem),
+_CRAWL_SQL = """WITH pairs AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem),
     starts AS (SELECT arg_max(o_orderkey, (o_totalprice, o_orderkey)) AS s FROM orders GROUP BY o_orderpriority),
     emitted AS (SELECT s, 'Part ' || p AS title, 0 AS depth, 0 AS first, p AS second FROM starts JOIN pairs ON o = s
       UNION ALL SELECT s, 'Order ' || b.o, 1, a.p, b.o FROM starts JOIN pairs a ON a.o = s JOIN pairs b ON b.p = a.p AND b.o <> s),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY depth, first, second) AS rank FROM emitted)
-    SELECT 'Order ' || s AS category, title, '/wiki/' || replace(title, ' ', '_') AS url, depth FROM ranked WHERE rank <= 1000""",
-)
-def crawl(spark, sf):
-    rows = crawl_links(order_part_links(spark, sf), dearest_orders(spark, sf), depth=1)
+    SELECT 'Order ' || s AS category, title, '/wiki/' || replace(title, ' ', '_') AS url, depth FROM ranked"""
+
+
+@query("crawl_links", _CRAWL_SQL)
+def crawl(spark, sf, cap=None):
+    rows = crawl_links(order_part_links(spark, sf), dearest_orders(spark, sf), depth=1, cap=cap)
     return rows.select(F.col("start").alias("category"), "title", "url", "depth")
 
 
+@query("crawl_links_capped", f"{_CRAWL_SQL} WHERE rank <= {MAX_PAGES}")
+def crawl_capped(spark, sf):
+    return crawl(spark, sf, MAX_PAGES)
+
+
 @query(
     "crawl_links_uncapped",
     """WITH pairs AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem),

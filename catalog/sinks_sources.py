@@ -9,6 +9,7 @@ from catalog.corpus import with_questions
 from catalog.html_jobs import marked_pages
 from catalog.joins import _GRID_SQL, _ALL_CATEGORIES, _ALL_LANGS, source_jobs
 from catalog.records import page_texts
+from corpusmill.constants import PAYLOAD_LIMIT
 from corpusmill.operators.categories import work_grid
 from corpusmill.operators.stats import progress
 from corpusmill.plans.records import build_records, quality_pass, run_source, training_bundle
@@ -154,16 +155,23 @@ def qa_payloads(spark, sf):
     return table(spark, sf, "documents").select("lang", F.col("source").alias("category"), F.array(item).alias("items"))
 
 
-@query(
-    "qa_site_items",
-    f"""SELECT 'Q' || doc_id AS title, lang AS language, source AS category, n_chars AS score,
-      'q/' || lpad(doc_id::VARCHAR, 9, '0') AS link, {record_text_sql("text", "lang")} AS content FROM documents
-    QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) <= 10""",
-)
+_QA_SQL = f"""SELECT 'Q' || doc_id AS title, lang AS language, source AS category, n_chars AS score,
+      'q/' || lpad(doc_id::VARCHAR, 9, '0') AS link, {record_text_sql("text", "lang")} AS content FROM documents"""
+
+
+@query("qa_site_items", _QA_SQL)
 def qa_items(spark, sf):
     return P.parse_qa_items(P.qa_items(qa_payloads(spark, sf)))
 
 
+@query(
+    "qa_site_items_top",
+    f"{_QA_SQL} QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) <= {PAYLOAD_LIMIT}",
+)
+def qa_items_top(spark, sf):
+    return P.parse_qa_items(P.qa_items(qa_payloads(spark, sf), PAYLOAD_LIMIT))
+
+
 def entity_payloads(spark, sf):
     """Landed entity searches and details: one pair per customer; debtors have no image, some no label."""
     qid = F.concat(F.lit("Q"), "c_custkey")
@@ -200,7 +208,7 @@ def entity_items(spark, sf):
 
 @query(
     "revision_history",
-    """SELECT conv_id, turn, i - 1 AS pos, 't' || i AS timestamp, role AS user FROM (SELECT *, unnest(generate_series(1, least(turn + 1, 5))) AS i
+    """SELECT conv_id, turn, i - 1 AS pos, 't' || i AS timestamp, role AS user FROM (SELECT *, unnest(generate_series(1, turn + 1)) AS i
       FROM conversations)""",
 )
 def revision_history(spark, sf):
@@ -217,7 +225,7 @@ def revision_history(spark, sf):
 
 @query(
     "related_pages",
-    """SELECT 'en' AS lang, o_orderkey || '-' || i AS title FROM (SELECT o_orderkey, unnest([3, 6, 9]) AS i FROM orders)""",
+    """SELECT 'en' AS lang, o_orderkey || '-' || i AS title FROM (SELECT o_orderkey, unnest([3, 6, 9, 12]) AS i FROM orders)""",
 )
 def related(spark, sf):
     links = F.transform(

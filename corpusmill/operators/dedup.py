@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from corpusmill.constants import HASH_PREFIX, SIMHASH_DISTANCE
+from corpusmill.constants import SIMHASH_DISTANCE
 from corpusmill.operators.resolver import removed_by_first_come
 from corpusmill.session import materialize
 
@@ -27,11 +27,12 @@ _NOT_WORD = re.compile(r"[^\w一-鿌]+")
 # ---------------------------------------------------------------- key hash
 
 
-def hash_key(id_: Column, title: Column, language: Column, content: Column) -> Column:
-    """md5 of the id (or title_language when there is none) followed by the first characters of the text."""
+def hash_key(id_: Column, title: Column, language: Column, content: Column, prefix: int | None = None) -> Column:
+    """md5 of the id (or title_language when there is none) followed by the text, or its first ``prefix`` characters."""
     name = F.concat(F.coalesce(title, F.lit("")), F.lit("_"), F.coalesce(language, F.lit("")))
     base = F.coalesce(F.when(id_ != "", id_), name)
-    return F.md5(F.concat(base, F.coalesce(F.substring(content, 1, HASH_PREFIX), F.lit(""))))
+    text = content if prefix is None else F.substring(content, 1, prefix)
+    return F.md5(F.concat(base, F.coalesce(text, F.lit(""))))
 
 
 def first_per_key(df: DataFrame, key: Column, seq: str = "seq") -> DataFrame:
@@ -42,12 +43,11 @@ def first_per_key(df: DataFrame, key: Column, seq: str = "seq") -> DataFrame:
     return df.select(key.alias("key"), F.col(seq)).groupBy("key").agg(F.min(seq).alias(seq)).select(seq)
 
 
-def deduplicate_by_hash(records: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
-    key = hash_key(F.col("id"), F.col("title"), F.col("language"), F.col("content"))
-    first = first_per_key(records, key, seq)
-    kept = records.join(first, seq, "left_semi")
-    removed = records.select(seq).join(first, seq, "left_anti")
-    return kept, removed
+def deduplicate_by_hash(records: DataFrame, seq: str = "seq", prefix: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """First record of each ``hash_key``. Records are matched with the list of removed ones, which is the short one."""
+    key = hash_key(F.col("id"), F.col("title"), F.col("language"), F.col("content"), prefix)
+    removed = records.select(seq).join(first_per_key(records, key, seq), seq, "left_anti")
+    return records.join(removed, seq, "left_anti"), removed
 
 
 # ---------------------------------------------------------------- simhash

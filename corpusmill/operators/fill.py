@@ -26,7 +26,7 @@ def complete_missing_fields(records: DataFrame, extra: DataFrame, order: str = "
     """Left join on (title, language), missing keys matching each other; the last extra row per key wins.
 
     Empty fields take the extra value, columns we lack are added, and the ``metadata`` struct is merged field
-    by field. Extra rows are folded by partial aggregation before the join.
+    by field (missing on both sides, it stays so). Extra rows are folded by partial aggregation before the join.
     """
     columns = [c for c in extra.columns if c not in (*KEYS, order)]
     last = extra.groupBy(*KEYS).agg(F.max_by(F.struct(*columns), order).alias("more"))
@@ -56,13 +56,13 @@ def _merge_struct(ours: Column, theirs: Column, dtype: T.StructType, more: T.Str
             value = _filled(value, theirs[f.name], f.dataType)
         fields.append(value.alias(f.name))
     fields += [theirs[n].alias(n) for n in more.fieldNames() if n not in dtype.fieldNames()]
-    return F.struct(*fields)
+    return F.when(ours.isNotNull() | theirs.isNotNull(), F.struct(*fields))
 
 
 def attach_metadata(records: DataFrame, extra: DataFrame, key: str = "id") -> DataFrame:
-    """Copy ``wikidata_id`` and ``image_url`` from a table with one row per key where given."""
+    """Copy ``wikidata_id`` and ``image_url`` from ``extra`` where given; of several rows of a key the largest value counts."""
     names = [c for c in ("wikidata_id", "image_url") if c in extra.columns]
-    side = extra.select(key, *[F.col(c).alias(f"given_{c}") for c in names])
+    side = extra.groupBy(key).agg(*[F.max(c).alias(f"given_{c}") for c in names]) if names else extra.select(key).distinct()
     joined = records.join(side, key, "left")
     for name in names:
         ours = F.col(name) if name in records.columns else F.lit(None).cast("string")

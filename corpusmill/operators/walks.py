@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from corpusmill.constants import MAX_CATEGORY_DEPTH, MAX_PAGES, NS_CATEGORY, NS_MAIN
+from corpusmill.constants import MAX_CATEGORY_DEPTH, NS_CATEGORY, NS_MAIN
 from corpusmill.operators.categories import strip_category_prefix
 from corpusmill.session import materialize
 
@@ -17,7 +17,7 @@ def category_members(
     membership: DataFrame,
     roots: DataFrame,
     max_depth: int = MAX_CATEGORY_DEPTH,
-    cap: int | None = MAX_PAGES,
+    cap: int | None = None,
 ) -> DataFrame:
     """Pages below each root category: (root, title, url, category, depth).
 
@@ -66,7 +66,7 @@ def crawl_links(
     starts: DataFrame,
     depth: int = 1,
     visited: Sequence[str] = (),
-    cap: int | None = MAX_PAGES,
+    cap: int | None = None,
 ) -> DataFrame:
     """Breadth-first link rows from each start page: (start, src, pos, title, url, depth, path).
 

@@ -25,7 +25,7 @@ from corpusmill.operators.stats import progress, removal_accounting
 from corpusmill.operators.summaries import summarize
 from corpusmill.operators.vectors import cluster_vectors, embed_texts
 from corpusmill.session import materialize
-from corpusmill.sinks.writers import embedding_export, qa_pairs, triples, write_dataset
+from corpusmill.sinks.writers import KEEP_NULLS, embedding_export, qa_pairs, triples, write_dataset
 from corpusmill.sources.registry import union_sources
 from corpusmill.sources.tables import read_records
 
@@ -144,7 +144,7 @@ def training_bundle(spark: SparkSession, path: str, lines: bool = False) -> dict
     }
     targets = {name: f"{base}_{name}" for name in out}
     for name, df in out.items():
-        df.write.mode("overwrite").json(targets[name])
+        df.write.mode("overwrite").options(**KEEP_NULLS).json(targets[name])
     records.unpersist()
     return targets
 

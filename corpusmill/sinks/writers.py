@@ -9,23 +9,28 @@ from pyspark.sql import types as T
 from corpusmill.functions.common import explode_positions
 from corpusmill.functions.questions import zip_shorter
 from corpusmill.functions.text import clean_text
+from corpusmill.session import materialize
 
 DATASET_FORMATS = ["json", "jsonl", "csv", "parquet"]
-MAX_TEXT_DIRECTORIES = 10_000
+KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
-def write_dataset(df: DataFrame, path: str, fmt: str = "all", mode: str = "overwrite") -> list[str]:
+def write_dataset(df: DataFrame, path: str, fmt: str = "all", mode: str = "error") -> list[str]:
     """Write ``df`` below ``path`` in one format or in all of them; returns the written paths.
 
-    ``qa`` writes question/answer pairs, ``text`` the text corpus. Errors are raised, never swallowed.
+    ``qa`` writes question/answer pairs, ``text`` the text corpus. Null fields are written as nulls. ``mode``
+    is that of Spark's writers: existing data is an error unless told otherwise. For several formats the rows are
+    computed once. Errors are raised, never swallowed.
     """
     formats = DATASET_FORMATS if fmt == "all" else [fmt]
+    if len(formats) > 1:
+        df = materialize(df, "dataset")
     writers = {
-        "json": lambda p: df.write.mode(mode).json(p),
-        "jsonl": lambda p: df.write.mode(mode).json(p),
+        "json": lambda p: df.write.mode(mode).options(**KEEP_NULLS).json(p),
+        "jsonl": lambda p: df.write.mode(mode).options(**KEEP_NULLS).json(p),
         "csv": lambda p: write_csv(df, p, mode),
         "parquet": lambda p: df.write.mode(mode).parquet(p),
-        "qa": lambda p: qa_pairs(df).write.mode(mode).json(p),
+        "qa": lambda p: qa_pairs(df).write.mode(mode).options(**KEEP_NULLS).json(p),
         "text": lambda p: write_text_corpus(df, p, mode),
     }
     unknown = [f for f in formats if f not in writers]
@@ -47,11 +52,11 @@ def csv_view(df: DataFrame) -> DataFrame:
     """Nested cells as JSON text."""
     nested = (T.ArrayType, T.MapType, T.StructType)
     return df.select(
-        *[F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields]
+        *[F.to_json(f.name, KEEP_NULLS).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in df.schema.fields]
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     csv_view(df).write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
@@ -85,20 +90,20 @@ def text_corpus(records: DataFrame) -> DataFrame:
     return records.select(corpus_name().alias("name"), clean_text(F.coalesce("content", F.lit(""))).alias("text"))
 
 
-def write_text_corpus(records: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """One directory per record up to ``MAX_TEXT_DIRECTORIES`` records, else a two-column table."""
-    few = records.select("id").limit(MAX_TEXT_DIRECTORIES + 1).count() <= MAX_TEXT_DIRECTORIES
+def write_text_corpus(records: DataFrame, path: str, mode: str = "error", layout: str = "table") -> None:
+    """A two-column parquet table, or with ``layout`` "text" one directory of plain text per record."""
+    if layout not in ("table", "text"):
+        raise ValueError(f"unknown layout: {layout}")
     corpus = text_corpus(records)
-    if few:
+    if layout == "text":
         corpus.write.mode(mode).partitionBy("name").text(path)
-        return "text"
-    corpus.write.mode(mode).parquet(path)
-    return "table"
+    else:
+        corpus.write.mode(mode).parquet(path)
 
 
 def json_rows(df: DataFrame) -> DataFrame:
     """One JSON text column ``data`` per record."""
-    return df.select(F.to_json(F.struct("*")).alias("data"))
+    return df.select(F.to_json(F.struct("*"), KEEP_NULLS).alias("data"))
 
 
 def write_json_rows(df: DataFrame, url: str, table: str, properties: dict[str, str] | None = None) -> None:
@@ -108,7 +113,7 @@ def write_json_rows(df: DataFrame, url: str, table: str, properties: dict[str, s
 
 def blob_rows(records: DataFrame) -> DataFrame:
     """(key, data): id and metadata as JSON, keyed by content so that a repeated task writes the same key."""
-    data = F.to_json(F.struct("id", "metadata"))
+    data = F.to_json(F.struct("id", "metadata"), KEEP_NULLS)
     return records.select(F.md5(data).alias("key"), data.alias("data"))
 
 
@@ -118,7 +123,7 @@ def append_blobs(records: DataFrame, path: str) -> None:
 
 def write_progress(snapshot: DataFrame, path: str) -> None:
     """Replace the snapshot at ``path``; it is one row."""
-    snapshot.coalesce(1).write.mode("overwrite").json(path)
+    snapshot.coalesce(1).write.mode("overwrite").options(**KEEP_NULLS).json(path)
 
 
 def export_pages(pages: DataFrame, path: str, fmt: str = "json") -> list[str]:

@@ -1,19 +1,29 @@
-"""Landed API payloads to rows. Each function takes a DataFrame, so files, tables and streams all work."""
+"""Landed API payloads to rows. Each function takes a DataFrame, so files, tables and streams all work.
+
+A ``limit`` keeps what a request of that size would have brought; without one all landed entries are kept.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.constants import IMAGE_URL_PREFIX, NS_MAIN, PAYLOAD_LIMIT, RELATED_LIMIT, REVISION_LIMIT
+from corpusmill.constants import IMAGE_URL_PREFIX, NS_MAIN
 from corpusmill.functions.text import advanced_clean_text, clean_text
 from corpusmill.operators.ordering import top_n
 from corpusmill.schema import RELATED_PAYLOAD_DDL, REVISION_PAYLOAD_DDL
 
 
-def qa_items(payloads: DataFrame, limit: int = PAYLOAD_LIMIT) -> DataFrame:
-    """Best-voted items per (lang, category)."""
+def _first(items: Column | str, limit: int | None) -> Column:
+    items = F.col(items) if isinstance(items, str) else items
+    return items if limit is None else F.slice(items, 1, limit)
+
+
+def qa_items(payloads: DataFrame, limit: int | None = None) -> DataFrame:
+    """Items of all payloads, or the best-voted ``limit`` per (lang, category)."""
     items = payloads.select("lang", "category", F.explode("items").alias("i")).select("lang", "category", "i.*")
+    if limit is None:
+        return items
     return top_n(items, ["lang", "category"], [F.desc_nulls_last("score"), "link"], limit).drop("rank")
 
 
@@ -30,10 +40,10 @@ def parse_qa_items(items: DataFrame) -> DataFrame:
     )
 
 
-def entity_items(payloads: DataFrame, limit: int = PAYLOAD_LIMIT) -> DataFrame:
-    """Search hits (lang, category, id, label, description), the first ``limit`` per payload."""
+def entity_items(payloads: DataFrame, limit: int | None = None) -> DataFrame:
+    """Search hits (lang, category, id, label, description), all or the first ``limit`` per payload."""
     hits = payloads.filter(F.col("search").isNotNull()).select(
-        "lang", "category", F.explode(F.slice("search", 1, limit)).alias("s")
+        "lang", "category", F.explode(_first("search", limit)).alias("s")
     )
     return hits.select("lang", "category", "s.id", "s.label", "s.description")
 
@@ -63,19 +73,19 @@ def parse_entity_items(items: DataFrame, details: DataFrame) -> DataFrame:
     )
 
 
-def revisions(payloads: DataFrame, key: str, limit: int = REVISION_LIMIT) -> DataFrame:
-    """(key, revisions) from JSON text in ``payload``: at most ``limit`` entries per page."""
+def revisions(payloads: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """(key, revisions) from JSON text in ``payload``: all or the first ``limit`` entries per page."""
     pages = F.map_values(F.from_json("payload", REVISION_PAYLOAD_DDL)["query"]["pages"])
     flat = F.flatten(F.transform(F.filter(pages, lambda p: p["revisions"].isNotNull()),
-                                 lambda p: F.slice(p["revisions"], 1, limit)))
+                                 lambda p: _first(p["revisions"], limit)))
     empty = F.array().cast("array<struct<timestamp:string,user:string>>")
     return payloads.select(key, F.coalesce(flat, empty).alias("revisions"))
 
 
-def related_pages(payloads: DataFrame, limit: int = RELATED_LIMIT) -> DataFrame:
-    """(lang, title) of main-namespace links from JSON text in ``payload``, ``limit`` links per page asked for."""
+def related_pages(payloads: DataFrame, limit: int | None = None) -> DataFrame:
+    """(lang, title) of main-namespace links from JSON text in ``payload``, of all or the first ``limit`` links per page."""
     pages = F.map_values(F.from_json("payload", RELATED_PAYLOAD_DDL)["query"]["pages"])
     links = payloads.select("lang", F.explode(pages).alias("p")).select(
-        "lang", F.explode(F.slice("p.links", 1, limit)).alias("l")
+        "lang", F.explode(_first("p.links", limit)).alias("l")
     )
     return links.filter(F.col("l.ns") == NS_MAIN).select(F.col("l.title").alias("title"), "lang")

@@ -61,8 +61,10 @@ def test_hash(spark):
         (4, None, "t", "en", "y"), (5, "a", "t", "en", "other"), (6, None, "t", "en", None), (7, None, "t", "en", None),
     ]
     df = spark.createDataFrame(rows, "seq bigint, id string, title string, language string, content string")
-    kept, removed = D.deduplicate_by_hash(df)
+    kept, removed = D.deduplicate_by_hash(df, prefix=50)
     assert seqs(kept) == {0, 2, 4, 5, 6} and seqs(removed) == {1, 3, 7}
+    kept, removed = D.deduplicate_by_hash(df)
+    assert seqs(kept) == {0, 1, 2, 4, 5, 6} and seqs(removed) == {3, 7}
 
 
 def simhash(text):

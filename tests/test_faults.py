@@ -40,3 +40,21 @@ def test_text_that_starts_with_a_brace(spark):
     rows = spark.createDataFrame([("{not json",), ('{"text": "q"}',), ("plain",)], "q string")
     got = [r["t"] for r in rows.select(_struct_or_text(F.col("q"), QUESTION)["text"].alias("t")).collect()]
     assert got == ["{not json", "q", "plain"]
+
+
+def test_null_fields_stay_in_json(spark):
+    from corpusmill.sinks.writers import json_rows
+
+    assert json_rows(spark.createDataFrame([("1", None)], "id string, title string")).first()["data"] == '{"id":"1","title":null}'
+
+
+def test_missing_metadata_stays_missing(spark):
+    from corpusmill.operators.fill import attach_metadata, complete_missing_fields
+
+    records = spark.createDataFrame([("a", "en", None), ("b", "en", None)], "title string, language string, metadata struct<x:int>")
+    extra = spark.createDataFrame([("b", "en", (7,), 0)], "title string, language string, metadata struct<x:int>, extra_seq int")
+    got = {r["title"]: r["metadata"] for r in complete_missing_fields(records, extra).collect()}
+    assert got["a"] is None and got["b"]["x"] == 7
+    given = spark.createDataFrame([("a", "Q1", None), ("a", "Q2", "u")], "title string, wikidata_id string, image_url string")
+    got = {r["title"]: (r["wikidata_id"], r["image_url"]) for r in attach_metadata(records, given, "title").collect()}
+    assert got == {"a": ("Q2", "u"), "b": (None, None)}

@@ -47,7 +47,7 @@ def test_writers(spark, tmp_path):
     W.write_dataset(df, out, "qa")
     pair = spark.read.json(f"{out}/qa").first()
     assert (pair["question"], pair["answer"]) == ("q1", "a1")
-    assert W.write_text_corpus(df, f"{out}/text") == "text"
+    W.write_text_corpus(df, f"{out}/text", layout="text")
     assert spark.read.text(f"{out}/text/name=1").first()[0] == "café"
     assert json.loads(W.json_rows(df).first()["data"])["title"] == "T"
     W.append_blobs(df, f"{out}/blobs")
