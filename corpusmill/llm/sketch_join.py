@@ -16,8 +16,10 @@ are equal (pigeonhole). Documents that share the value of a block meet; nothing
 Sets with equal elements are one class and are compared once. Blocks of equal value form a bucket. The first pass only
 ties each member to the bucket's hub; a class is verified against one of the hubs it shares most blocks with, and verified
 links give components. The second pass looks at buckets that still hold several components and compares members of
-different ones, once for all buckets with the same members, and blockwise where a bucket is large. Pairs within a component are never formed, so a group of thousands of near
-copies costs one link each, yet no link between components is missed.
+different ones, once for all buckets with the same members, and blockwise where a bucket is large. It runs twice: first
+only the closest candidates that tie the components together in a few forests are verified, so that a group of thousands
+of near copies grows together by a few links each; then every candidate that is left between different components is.
+So pairs within a component are never formed, yet no link between components is missed.
 
 Hot keys: equal blocks are folded within each map task, so a bucket gets at most one row per input batch; numbers are
 shuffled as packed arrays. Verification reads the sets of candidate classes only.
@@ -49,6 +51,7 @@ COMPARE = 2_048  # members compared with each other in one unit of a large bucke
 WIDE_BITS = 8_192
 BITS_EACH, MOST_BITS = 64, 1 << 27  # bitmaps of wanted rows: at most 16 MB
 HUBS = 3  # hubs that a member tries before the crossing pairs
+FORESTS = 3  # forests of candidates verified before all that are left
 VERIFY = 64  # members verified against one hub in one unit
 
 _LANES = SKETCH_BITS // 64
@@ -271,7 +274,9 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     sides = pairs.select(F.col("member").alias("class")).union(pairs.select(F.col("hub").alias("class"))).distinct()
     wanted = materialize(classes.join(sides, "class", "left_semi").select("class", F.xxhash64("first").alias("row")), "wanted")
     rows = docs.select(F.xxhash64(id_col).alias("row"), F.col(text_col).alias("text"))
-    held = materialize(_held_sets(rows, shingle, bitmap(wanted, "row"), bitmap(wanted, "class")), "sets")
+    # Copies of a wanted text may come along; one row a class is enough.
+    held = _held_sets(rows, shingle, bitmap(wanted, "row"), bitmap(wanted, "class")).dropDuplicates(["class"])
+    held = materialize(held, "sets")
     part, whole = similarity
 
     def sketches_fit(a: np.ndarray, b: np.ndarray) -> bool:
@@ -360,11 +365,32 @@ def wide_sketch(values: np.ndarray) -> bytes:
     return np.uint64(len(values)).tobytes() + np.packbits(odd).tobytes()
 
 
-def _across(table: pa.Table, similarity) -> pa.Table:
+def _root(parent: list[int], node: int) -> int:
+    while parent[node] != node:
+        parent[node] = parent[parent[node]]
+        node = parent[node]
+    return node
+
+
+def _tying(a: np.ndarray, b: np.ndarray, trees: list[list[int]]) -> list[int]:
+    """Indexes of the pairs that join two trees of one of the forests, which grow by them."""
+    kept = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        for parent in trees:
+            one, two = _root(parent, x), _root(parent, y)
+            if one != two:
+                parent[one] = two
+                kept.append(k)
+                break
+    return kept
+
+
+def _across(table: pa.Table, similarity, forests: int | None) -> pa.Table:
     """Members of one unit that may be similar and are in different components; for many units at once.
 
     Rows are ordered by unit, and each is held against the next, the second next and so on, all units in step. In a unit
-    of two parts only members of different parts meet.
+    of two parts only members of different parts meet. With ``forests``, a pair is left out if each of that many forests
+    over the components, built by the pairs so far, ties its two components already.
     """
     part, whole = similarity
     col = {n: table.column(n).to_numpy() for n in ("key", "i", "j", "side", "member", "comp", "n")}
@@ -375,16 +401,25 @@ def _across(table: pa.Table, similarity) -> pa.Table:
     new[1:] = (np.diff(col["key"]) != 0) | (np.diff(col["i"]) != 0) | (np.diff(col["j"]) != 0)
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(order))[np.cumsum(new) - 1]
+    names, comp = np.unique(col["comp"], return_inverse=True)
+    trees = [list(range(len(names))) for _ in range(forests or 0)]
+    tree, tried = comp, 0  # the tree of each row in the last forest, as of some steps ago
     found = []
     left, step = np.arange(len(order)), 1
     while len(left := left[left + step < end[left]]):
         a, b = left, left + step
         n, m = col["n"][a], col["n"][b]
-        fit = (col["comp"][a] != col["comp"][b]) & (whole * m >= part * n) & (whole * n >= part * m)
+        fit = (tree[a] != tree[b]) & (whole * m >= part * n) & (whole * n >= part * m)
         fit &= (col["i"][a] == col["j"][a]) | (col["side"][a] != col["side"][b])
         a, b = a[fit], b[fit]
         distance = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
-        near = (whole + part) * distance <= (whole - part) * (col["n"][a] + col["n"][b])
+        total = col["n"][a] + col["n"][b]
+        near = np.flatnonzero((whole + part) * distance <= (whole - part) * total)
+        if trees:
+            near = near[np.argsort(distance[near] / total[near], kind="stable")]
+            near, tried = near[_tying(comp[a[near]], comp[b[near]], trees)], tried + len(near)
+            if tried >= len(names):
+                tree, tried = np.array([_root(trees[-1], x) for x in range(len(names))])[comp], 0
         found.append(np.stack([col["member"][a[near]], col["member"][b[near]]], 1))
         step += 1
     pairs = np.sort(np.concatenate(found), axis=1) if found else np.zeros((0, 2), np.int64)
@@ -392,8 +427,8 @@ def _across(table: pa.Table, similarity) -> pa.Table:
     return pa.table({"member": pairs[:, 1], "hub": pairs[:, 0]})
 
 
-def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarity) -> DataFrame:
-    """Candidate pairs of different components from the buckets that hold several."""
+def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarity, forests: int | None = None) -> DataFrame:
+    """Candidate pairs of different components from the buckets that hold several: all, or those of some forests."""
     member = comps.select(F.col("class").alias("member"), F.col("root").alias("mc"))
     hub = comps.select(F.col("class").alias("hub"), F.col("root").alias("hc"))
     mixed = ties.join(member, "member").join(hub, "hub").filter("mc <> hc").select("key").distinct()
@@ -423,7 +458,7 @@ def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarit
     # Small units share a call; a unit is never split, and has at most two parts.
     rows = buckets.agg(F.sum(F.col("size") * F.col("parts"))).first()[0] or 0
     slots = F.pmod(F.xxhash64("home", "i", "j"), F.lit(max(1, rows // UNIT_ROWS)))
-    compared = units.groupBy(slots.alias("slot")).applyInArrow(lambda t: _across(t, similarity), "member long, hub long")
+    compared = units.groupBy(slots.alias("slot")).applyInArrow(lambda t: _across(t, similarity, forests), "member long, hub long")
     return compared.distinct()
 
 
@@ -469,10 +504,13 @@ def _components(docs, classes, total, id_col, text_col, shingle, similarity) ->
     proof = lambda p, name: materialize(verify(p, classes, docs, id_col, text_col, shingle, similarity), name)
     links = proof(materialize(best, "first_pairs"), "first_links")
     roots = materialize(_roots(classes, links), "first_roots")
-    crossing = materialize(cross_pairs(ties, roots, classes, similarity), "crossing_pairs")
-    if crossing.isEmpty():
-        return roots
-    return materialize(_roots(classes, links.union(proof(crossing, "crossing_links"))), "roots")
+    for forests in (FORESTS, None):
+        crossing = materialize(cross_pairs(ties, roots, classes, similarity, forests), "crossing_pairs")
+        if crossing.isEmpty():
+            break
+        links = links.union(proof(crossing, "crossing_links"))
+        roots = materialize(_roots(classes, links), "roots")
+    return roots
 
 
 def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
