@@ -8,28 +8,35 @@ from pyspark.sql import functions as F
 _WORD = r"[\p{L}\p{N}_]+"
 
 
-def find_entities(docs: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
-    """Rows (seq, pos, text, type) for every run of words that is a gazetteer name.
+def find_entities(docs: DataFrame, gazetteer: DataFrame, max_words: int | None = None) -> DataFrame:
+    """Rows (seq, pos, text, type) for every run of words that is a gazetteer name, ``text`` being that name.
 
-    ``docs`` has ``seq`` and ``content``; ``gazetteer`` has ``name`` and ``type``. Case-sensitive. The join
-    strategy follows the gazetteer's measured size; a large one is joined by shuffle.
+    ``docs`` has ``seq`` and ``content``; ``gazetteer`` has ``name`` and ``type``. Names are cut into words like the
+    texts, so marks within them ("St. John's") do not matter. Case-sensitive. The run lengths looked up are those that
+    the gazetteer has, up to ``max_words`` if given. The join strategy follows the gazetteer's measured size; a large
+    one is joined by shuffle.
     """
-    toks = F.regexp_extract_all("content", F.lit(_WORD), F.lit(0))
+    words = lambda c: F.regexp_extract_all(c, F.lit(_WORD), F.lit(0))
+    names = gazetteer.groupBy("name").agg(F.min("type").alias("type")).withColumn("words", words("name")).filter(F.size("words") > 0)
+    if max_words is not None:
+        names = names.filter(F.size("words") <= max_words)
+    lengths = sorted(names.agg(F.collect_set(F.size("words"))).first()[0])
+    lengths = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
     grams = F.flatten(
         F.transform(
             "toks",
             lambda t, i: F.transform(
-                F.filter(F.sequence(F.lit(1), F.lit(max_words)), lambda n: i + n <= F.size("toks")),
+                F.filter(lengths, lambda n: i + n <= F.size("toks")),
                 lambda n: F.struct(
-                    i.alias("pos"), F.array_join(F.slice("toks", i + 1, n), " ").alias("text")
+                    i.alias("pos"), F.array_join(F.slice("toks", i + 1, n), " ").alias("run")
                 ),
             ),
         )
     )
     found = (
-        docs.select("seq", toks.alias("toks"))
+        docs.select("seq", words("content").alias("toks"))
         .select("seq", F.explode_outer(grams).alias("g"))  # outer: the grams are computed once
-        .select("seq", "g.pos", "g.text")
+        .select("seq", "g.pos", "g.run")
     )
-    names = gazetteer.groupBy(F.col("name").alias("text")).agg(F.min("type").alias("type"))
-    return found.join(names, "text").select("seq", "pos", "text", "type")
+    names = names.select(F.array_join("words", " ").alias("run"), F.col("name").alias("text"), "type")
+    return found.join(names, "run").select("seq", "pos", "text", "type")

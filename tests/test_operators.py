@@ -256,3 +256,13 @@ def test_text_embeddings(spark):
     df = spark.createDataFrame([(0, "a b c"), (1, "c d"), (2, "")], "seq int, content string")
     got = {r["seq"]: r["content_embedding"] for r in vectors.embed_texts(df, size=16).collect()}
     assert len(got[0]) == 16 and abs(sum(x * x for x in got[1]) - 1) < 1e-6
+
+
+def test_entities_of_many_words_and_marks(spark):
+    docs = spark.createDataFrame([(0, "From St. John's to the United States of America"), (1, None)], "seq int, content string")
+    names = spark.createDataFrame(
+        [("St. John's", "LOC"), ("United States of America", "LOC"), ("...", "MARK"), (None, "NONE")], "name string, type string"
+    )
+    assert rows(find_entities(docs, names), "pos", "text") == [(1, "St. John's"), (6, "United States of America")]
+    assert rows(find_entities(docs, names, 3), "pos", "text") == [(1, "St. John's")]
+    assert rows(find_entities(docs, names.limit(0)), "pos", "text") == []
