@@ -1,7 +1,8 @@
 r"""Personal data by patterns, checksums and context.
 
 Regular expressions propose spans. Checksums confirm those that have one: Luhn for cards, mod 97 for bank accounts.
-Words within ``CONTEXT`` characters before a span adjust its score. The four base kinds always stay; further kinds
+A bank account number has the length of its country, or, where the country is not in the list, the longest one with
+remainder 1; every place where one can begin is tried, so what stands before or behind it does not matter. Words within ``CONTEXT`` characters before a span adjust its score. The four base kinds always stay; further kinds
 (``iban``, and ``national_id`` for grouped nine-digit numbers) are reported from score ``REPORT`` on.
 
 Native column functions only, row by row, nothing is shuffled. Spark has no function for match positions, so they are
@@ -28,9 +29,19 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    # The first four characters; the group holds all that can follow, and one more character that shows the border.
+    "iban": r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?))[A-Z]{2}[0-9]{2}",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
+# Lengths of bank account numbers by country, from the registry of ISO 13616.
+IBAN_LENGTHS = {
+    code: size for size, codes in {
+        15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items() for code in codes.split()
+}
 # What a text needs for the pattern to be worth running.
 GUARDS = {
     "email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){12}[0-9]", "phone": r"\+[0-9]",
@@ -63,6 +74,21 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), step)
 
 
+def _account(run: Column) -> Column:
+    """The bank account number at the beginning of ``run``, else null."""
+    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+    wanted = F.try_element_at(lengths, F.substring(run, 1, 2))
+
+    def fits(i: Column) -> Column:
+        part = F.substr(run, F.lit(1), i)
+        size = F.length(F.replace(part, F.lit(" ")))
+        ends = part.rlike("[A-Z0-9]$") & ~F.substr(run, i + 1, F.lit(1)).rlike("[A-Za-z0-9]")
+        return ends & size.between(15, 34) & (size == F.coalesce(wanted, size)) & (_mod97(part) == 1)
+
+    ends = F.filter(F.sequence(F.length(run), F.lit(15), F.lit(-1)), fits)
+    return F.substr(run, F.lit(1), F.get(ends, F.lit(0)))
+
+
 def confirmed(kind: str, text: Column) -> Column:
     """Whether a match is valid for its kind."""
     if kind == "ip":
@@ -71,8 +97,6 @@ def confirmed(kind: str, text: Column) -> Column:
         return F.length(_digits(text)).between(13, 19) & F.call_function("luhn_check", _digits(text))
     if kind == "phone":
         return F.length(_digits(text)).between(9, 15)
-    if kind == "iban":
-        return F.length(F.replace(text, F.lit(" "))).between(15, 34) & (_mod97(text) == 1)
     return F.lit(True)
 
 
@@ -81,17 +105,20 @@ def spans_of(kind: str, text: Column) -> Column:
     pattern = F.lit(PATTERNS[kind])
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     gaps = F.split(text, PATTERNS[kind], -1)
-    sizes = F.transform(F.arrays_zip(gaps.alias("g"), matches.alias("m")), lambda p: F.struct(
-        F.length(p["g"]).alias("gap"), p["m"].alias("match")
+    # The text of a span is the match, of an account the part of what follows its head that is one.
+    runs = F.regexp_extract_all(text, pattern, F.lit(1)) if kind == "iban" else matches
+    sizes = F.transform(F.arrays_zip(gaps.alias("g"), matches.alias("m"), runs.alias("r")), lambda p: F.struct(
+        F.length(p["g"]).alias("gap"), F.length(p["m"]).alias("size"), (_account(p["r"]) if kind == "iban" else p["r"]).alias("match")
     ))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string>>").alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.array().cast("array<struct<start:int,match:string>>").alias("found"))
 
     def add(acc: Column, p: Column) -> Column:
         begin = acc["at"] + p["gap"]
-        valid = p["match"].isNotNull() & confirmed(kind, p["match"])
+        valid = p["match"].isNotNull() & (begin >= acc["free"]) & confirmed(kind, p["match"])
         one = F.struct(begin.alias("start"), p["match"].alias("match"))
         return F.struct(
-            (begin + F.coalesce(F.length(p["match"]), F.lit(0))).alias("at"),
+            (begin + F.coalesce(p["size"], F.lit(0))).alias("at"),
+            F.when(valid, begin + F.length(p["match"])).otherwise(acc["free"]).alias("free"),
             F.when(valid, F.concat(acc["found"], F.array(one))).otherwise(acc["found"]).alias("found"),
         )
 

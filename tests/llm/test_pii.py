@@ -70,3 +70,21 @@ def test_checksums_and_context(spark):
     assert found[1].find("iban") < 0 and found[3] == "" and found[2] == "national_id:10:21"
     masked = {r["doc_id"]: r["text"] for r in pii.mask_pii(docs).collect()}
     assert masked[2] == "my SSN is [NATIONAL_ID]." and masked[3] == rows[3][1] and masked[4] is None
+
+
+def test_accounts_before_other_words(spark):
+    gb, de, no = "GB29 NWBK 6016 1331 9268 19", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"
+    cases = {
+        f"{gb} BIC NWBKGB2L": [gb], f"{de} AND": [de], f"{de} 12": [de], f"{de} {gb}": [de, gb], f"{no} {de} {no}": [no, de, no],
+        f"ID12 {de} REF 77": [de], f"DE12 3456 {gb}": [gb], f"{de}X": [], f"{de}x": [], f"{de.replace(' ', '')} AB12": [de.replace(" ", "")],
+        # A country that is not in the list: the longest one with remainder 1.
+        "ZZ97 1234 5678 9012 345 AND": [],
+    }
+    body = "12345678901234"
+    other = f"ZZ{98 - int(body + '353500') % 97:02d}{body}"
+    cases |= {f"{other} x": [other], f"{other} é": [other]}
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for row in pii.pii_digests(docs).collect():
+        text = list(cases)[row["doc_id"]]
+        spans = [s.split(":") for s in row["spans"].split(",") if s.startswith("iban")]
+        assert [text[int(a) : int(b)] for _, a, b in spans] == cases[text], text
