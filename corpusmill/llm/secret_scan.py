@@ -3,7 +3,8 @@
 Fixed patterns give the base spans. Beyond them, every long unbroken token near a sensitive word is a candidate. Its
 novelty is the marginal size: bytes of (surrounding text + token) minus bytes of the surrounding text alone, both
 compressed with a zstandard dictionary of code and common identifiers. Identifiers, paths, repeated or spelled-out
-strings compress well; random keys do not. Candidates whose marginal bytes per character reach ``NOVELTY`` are reported.
+strings compress well; random keys do not. Candidates whose marginal bytes per character reach ``NOVELTY`` are reported,
+those of which a base span is only a part as whole tokens beside that span.
 
 Rows are scanned in place, nothing is shuffled. Defined results: null and empty texts have no spans; offsets are code
 points, ends exclusive.
@@ -95,7 +96,7 @@ class SecretScanner:
         return out
 
     def novel(self, text: str, taken: list[Span]) -> list[Span]:
-        """Incompressible tokens in a sensitive context, outside the spans already taken."""
+        """Incompressible tokens in a sensitive context that go beyond the spans already taken."""
         out = []
         end_of_last = 0
         for word in self.sensitive.finditer(text):
@@ -105,7 +106,7 @@ class SecretScanner:
                 if m.start() > stop:
                     break
                 at = end_of_last = m.end()
-                if any(s.start < m.end() and m.start() < s.end for s in taken):
+                if any(s.start <= m.start() and m.end() <= s.end for s in taken):
                     continue
                 cost = self.marginal(text, *m.span())
                 if cost >= self.novelty:

@@ -56,3 +56,13 @@ def test_redaction(spark):
     docs = spark.createDataFrame([(1, text), (2, None), (3, "plain")], "doc_id long, text string")
     out = {r["doc_id"]: r["text"] for r in ss.redact_secrets(docs).collect()}
     assert out == {1: 'x [SECRET]" y', 2: None, 3: "plain"}
+
+
+def test_secrets_that_go_on_beyond_a_base_span():
+    scan = ss.SecretScanner()
+    redacted = lambda t: ss.redact(t, scan.scan(t))
+    assert redacted('password = "Abcdefgh1234$%moreSecretPart99" x') == '[SECRET]" x'
+    token = "Zq8$Lw2@0123456789abcdef!Xv7#Tn4%Rk9&Jb"
+    assert redacted(f"the auth credential {token} y") == "the auth credential [SECRET] y"
+    # Wholly inside a base span: nothing beside it.
+    assert [s.kind for s in scan.scan("token = abcdefghijklmnopqrstuvwx")] == ["assign"]
