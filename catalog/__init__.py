@@ -9,7 +9,8 @@ __all__ = ["ORACLES", "QUERIES"]
 _INTEGERS = {
     "rank": ["extract_keywords", "extract_keywords_single_words", "top_n_per_group"],
     "pos": [
-        "generate_questions", "generate_answers", "qa_pairs", "extract_links", "extract_links_parsed",
+        "generate_questions", "generate_answers", "qa_pairs",
+        "generate_questions_whole", "generate_answers_whole", "qa_pairs_whole", "extract_links", "extract_links_parsed",
         "category_page_links", "revision_history", "positional_zip", "split_sentences",
     ],
     "length": ["build_record_scalars", "stream_records"],

@@ -92,7 +92,7 @@ def clusters(spark, sf):
     return cluster_vectors(table(spark, sf, "embeddings"), "embedding").select("vec_id", "cluster")
 
 
-def with_questions(spark, sf):
+def with_questions(spark, sf, question_bounds=None, answer_bounds=None):
     """Records with the first distinct words as keywords and two entities, a suitable and another one."""
     words = F.col("words")
     entity = lambda i, kind: F.struct(F.get(words, F.lit(i)).alias("text"), F.lit(kind).alias("type"))
@@ -100,8 +100,13 @@ def with_questions(spark, sf):
     base = records_base(spark, sf).withColumn("words", F.split("content", r"\s+"))
     base = base.withColumn("keywords", F.slice(words, 1, 7)).withColumn("summary", F.substring("content", 1, 60))
     return base.withColumn(
-        "questions", generate_questions(F.col("title"), F.col("language"), F.col("keywords"), entities)
-    ).withColumn("answers", generate_answers(F.col("content"), F.col("summary")))
+        "questions", generate_questions(F.col("title"), F.col("language"), F.col("keywords"), entities, **(question_bounds or {}))
+    ).withColumn("answers", generate_answers(F.col("content"), F.col("summary"), **(answer_bounds or {})))
+
+
+def with_whole_questions(spark, sf):
+    """The same with nothing cut, as the records are built."""
+    return with_questions(spark, sf, {"max_keywords": None, "max_entities": None}, {"max_length": None, "max_paragraphs": None})
 
 
 def _question_rows() -> str:
@@ -136,6 +141,11 @@ _ANSWERS = r"""answers AS (
     FROM (SELECT seq, list_filter(string_split(content, chr(10)), lambda p: trim(p) <> '') AS lines FROM records_base)))"""
 
 
+# The forms without bounds: all seven keywords, the whole text, all lines.
+_WHOLE_QUESTIONS = _QUESTIONS.replace("least(len(words), 5)", "least(len(words), 7)")
+_WHOLE_ANSWERS = _ANSWERS.replace("substr(content, 1, 10000)", "content").replace("least(len(lines), 3)", "len(lines)")
+
+
 @query("generate_questions", f"WITH {RECORDS_SQL}, {_QUESTIONS} SELECT * FROM questions")
 def questions(spark, sf):
     rows = explode_positions(with_questions(spark, sf), F.col("questions"), "seq", value="q")
@@ -157,6 +167,27 @@ def qa_pairs(spark, sf):
     return W.qa_pairs(with_questions(spark, sf), "seq")
 
 
+@query("generate_questions_whole", f"WITH {RECORDS_SQL}, {_WHOLE_QUESTIONS} SELECT * FROM questions")
+def questions_whole(spark, sf):
+    rows = explode_positions(with_whole_questions(spark, sf), F.col("questions"), "seq", value="q")
+    return rows.select("seq", "pos", F.col("q.text").alias("question"), "q.type", "q.difficulty")
+
+
+@query("generate_answers_whole", f"WITH {RECORDS_SQL}, {_WHOLE_ANSWERS} SELECT * FROM answers")
+def answers_whole(spark, sf):
+    rows = explode_positions(with_whole_questions(spark, sf), F.col("answers"), "seq", value="a")
+    return rows.select("seq", "pos", F.col("a.text").alias("answer"), "a.type", "a.length")
+
+
+@query(
+    "qa_pairs_whole",
+    f"""WITH {RECORDS_SQL}, {_WHOLE_QUESTIONS}, {_WHOLE_ANSWERS} SELECT q.seq, q.pos, question, answer
+    FROM questions q JOIN answers a ON a.seq = q.seq AND a.pos = q.pos""",
+)
+def qa_pairs_whole(spark, sf):
+    return W.qa_pairs(with_whole_questions(spark, sf), "seq")
+
+
 @query(
     "conversation_pairs",
     """WITH t AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) - 1 AS pos FROM conversations)

@@ -49,20 +49,27 @@ def _question(spec: tuple[str, str, str], lang: Column, **values: Column) -> Col
     )
 
 
-def generate_questions(title: Column, lang: Column, keywords: Column, entities: Column | None = None) -> Column:
-    """One definition question, three per keyword, one per suitable entity among the first ones."""
+def _first(items: Column, bound: int | None) -> Column:
+    return items if bound is None else F.slice(items, 1, bound)
+
+
+def generate_questions(
+    title: Column, lang: Column, keywords: Column, entities: Column | None = None,
+    max_keywords: int | None = MAX_KEYWORD_QUESTIONS, max_entities: int | None = MAX_ENTITY_QUESTIONS,
+) -> Column:
+    """One definition question, three per keyword, one per suitable entity among the first ones; None takes all."""
     parts = [
         F.array(_question(DEFINITION_QUESTION, lang, title=title)),
         F.flatten(
             F.transform(
-                F.slice(keywords, 1, MAX_KEYWORD_QUESTIONS),
+                _first(keywords, max_keywords),
                 lambda k: F.array(*[_question(spec, lang, keyword=k, title=title) for spec in KEYWORD_QUESTIONS]),
             )
         ),
     ]
     if entities is not None:
         suitable = F.filter(
-            F.slice(entities, 1, MAX_ENTITY_QUESTIONS), lambda e: e["type"].isin(ENTITY_QUESTION_TYPES)
+            _first(entities, max_entities), lambda e: e["type"].isin(ENTITY_QUESTION_TYPES)
         )
         parts.append(F.transform(suitable, lambda e: _question(ENTITY_QUESTION, lang, entity=e["text"], title=title)))
     return F.concat(*parts)
@@ -72,15 +79,17 @@ def _answer(text: Column, kind: str, length: str) -> Column:
     return F.struct(text.alias("text"), F.lit(kind).alias("type"), F.lit(length).alias("length"))
 
 
-def generate_answers(content: Column, summary: Column) -> Column:
-    """Summary, bounded full text, then the first non-blank lines."""
+def generate_answers(
+    content: Column, summary: Column, max_length: int | None = MAX_TEXT_LENGTH, max_paragraphs: int | None = MAX_PARAGRAPHS
+) -> Column:
+    """Summary, full text up to a length, then the first non-blank lines; None takes all of the text and all lines."""
     lines = F.filter(F.split(content, "\n"), lambda p: F.regexp_replace(p, r"(?U)\s+", "") != "")
     return F.concat(
         F.array(
             _answer(summary, "summary", "short"),
-            _answer(F.substring(content, 1, MAX_TEXT_LENGTH), "detailed", "long"),
+            _answer(content if max_length is None else F.substring(content, 1, max_length), "detailed", "long"),
         ),
-        F.transform(F.slice(lines, 1, MAX_PARAGRAPHS), lambda p: _answer(p, "paragraph", "medium")),
+        F.transform(_first(lines, max_paragraphs), lambda p: _answer(p, "paragraph", "medium")),
     )
 
 

@@ -59,8 +59,8 @@ def derive_records(pages: DataFrame, stop_words: dict[str, Iterable[str]]) -> Da
             "keywords",
             "content",
             "summary",
-            generate_questions(title, lang, F.col("keywords"), entities).alias("questions"),
-            generate_answers(content, F.col("summary")).alias("answers"),
+            generate_questions(title, lang, F.col("keywords"), entities, max_keywords=None, max_entities=None).alias("questions"),
+            generate_answers(content, F.col("summary"), max_length=None, max_paragraphs=None).alias("answers"),
             extract_relations(content).alias("relations"),
             (F.col("created_at") if "created_at" in pages.columns else F.current_timestamp()).alias("created_at"),
             F.struct(

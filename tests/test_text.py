@@ -120,6 +120,16 @@ def test_answers(one):
     assert len(out[1]["text"]) == 10000
 
 
+def test_questions_and_answers_whole(spark, one):
+    text = "p1\n \np2\np3\np4" + "x" * 10100
+    out = one(lambda c, s: questions.generate_answers(c, s, max_length=None, max_paragraphs=None), c=text, s="sum")
+    assert [a["text"] for a in out] == ["sum", text, "p1", "p2", "p3", "p4" + "x" * 10100]
+    kws = F.array(*[F.lit(f"k{i}") for i in range(7)])
+    ents = F.array(*[F.struct(F.lit(f"e{i}").alias("text"), F.lit("PERSON").alias("type")) for i in range(6)])
+    whole = questions.generate_questions(F.lit("T"), F.lit("en"), kws, ents, max_keywords=None, max_entities=None)
+    assert len(spark.range(1).select(whole).first()[0]) == 1 + 3 * 7 + 6
+
+
 def test_zip(spark):
     rows = [(["a", "b", "c"], ["x"]), ([], ["x"]), (None, ["x"]), (["a"], None), (["a", "b"], ["x", "y"])]
     df = spark.createDataFrame(rows, "l array<string>, r array<string>")
