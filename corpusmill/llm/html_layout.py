@@ -2,7 +2,10 @@
 
 A forgiving tree builder keeps the stack of open elements with the usual implied end tags (paragraphs, list items, table
 parts, options), and visibility rules (``hidden``, ``display:none``, ``visibility:hidden``, ``aria-hidden``, elements
-that browsers do not show). All visible text is emitted: blocks apart by blank lines, line breaks, list items with
+that browsers do not show, and ``iframe``, ``embed``, ``canvas``, ``audio``, ``video``, ``noscript``, ``template`` and
+``datalist``, whose content is not text of the page in a browser that shows them). Text in ``svg`` and ``math`` is shown
+without titles, descriptions, metadata, annotations, definitions and phantoms; ``object`` shows its fallback; ``select``
+shows its chosen option, a list box all of them. All visible text is emitted: blocks apart by blank lines, line breaks, list items with
 bullets or numbers and indentation, quoted blocks, preformatted text as it is, and table rows with their cells aligned
 in columns.
 
@@ -21,7 +24,16 @@ from pyspark.sql import types as T
 
 # Element classes of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = set("head script style template noscript title meta link iframe object embed audio video canvas svg math select datalist".split())
+UNSEEN = set("head script style template noscript title meta link iframe embed audio video canvas datalist".split())
+# Hidden within drawings and formulas; names in lower case.
+UNSEEN_WITHIN = {
+    "svg": set("desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+    "math": set("annotation annotation-xml mphantom".split()),
+}
+# Children of these stand apart from each other.
+APART = set("mfrac mroot mtr mtable munder mover munderover".split())
+# A slash at the end, unless it belongs to a value without quotes.
+SELF_CLOSED = re.compile(r"(?<![^\s\"'])/$|^/$")
 RAW = {"script", "style", "textarea", "title", "iframe", "noscript", "xmp"}
 BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -42,6 +54,7 @@ IMPLIED = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
     "option": ({"option"}, {"select"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
 }
 SCOPE = {"table", "td", "th", "caption", "html", "button", "object"}
 
@@ -97,6 +110,8 @@ class Renderer:
         self.mark: str | None = None  # bullet of the item that has not begun yet
         self.flow = Block()
         self.tables: list[dict] = []
+        self.selects: list[dict] = []
+        self.foreign: list[str] = []  # open svg and math elements
         self.counts = {"blocks": 0, "lists": 0, "tables": 0}
 
     def lead(self) -> str:
@@ -135,7 +150,20 @@ class Renderer:
             self.close_up_to({"p"}, SCOPE)
         if name in IMPLIED:
             self.close_up_to(*IMPLIED[name])
+        if self.selects and name in ("select", "input", "textarea"):
+            self.close_up_to({"select"}, {"table"})
+        within = self.foreign[-1] if self.foreign else ""
+        if (within or name in ("svg", "math")) and SELF_CLOSED.search(attributes):
+            return
         hides = name in UNSEEN or (bool(attributes) and is_hidden(attributes))
+        if within:
+            hides = hides or name in UNSEEN_WITHIN[within] or attribute(attributes, "display").lower() == "none"
+            hides = hides or within == "svg" and attribute(attributes, "visibility").lower() in ("hidden", "collapse")
+        if name == "option" and self.selects and not self.hidden:
+            # The chosen option is shown even where the list does not have it.
+            select = self.selects[-1]
+            select["options"].append([attribute(attributes, "label"), has(attributes, "selected"), select["disabled"] or has(attributes, "disabled"), hides, None])
+            hides = False
         if name in VOID:
             if not self.hidden and not hides:
                 self.void(name, attributes)
@@ -145,6 +173,20 @@ class Renderer:
             self.hidden += 1
         if self.hidden:
             return
+        if name in ("svg", "math"):
+            self.foreign.append(name)
+        elif name == "text" and within == "svg":
+            self.text(" ")
+        elif name == "select":
+            size = attribute(attributes, "size")
+            box = has(attributes, "multiple") or size.isdigit() and int(size) > 1
+            self.selects.append({"options": [], "disabled": False, "box": box, "outer": self.flow, "state": (self.lists, self.quotes, self.mark, self.pre)})
+            self.flow = Block()
+            self.lists, self.quotes, self.mark, self.pre = [], 0, None, 0
+        elif name == "optgroup" and self.selects:
+            self.selects[-1]["disabled"] = has(attributes, "disabled")
+        elif name == "option" and self.selects:
+            self.flow = Block()
         if name in BLOCK:
             self.flow.end_line()
             self.flow.gap |= name in SPACED and not (self.lists and name in ("ul", "ol"))
@@ -213,6 +255,24 @@ class Renderer:
         self.hidden -= hides
         if was_hidden:
             return
+        if name in ("svg", "math") and self.foreign:
+            self.foreign.pop()
+        elif name == "text" and self.foreign[-1:] == ["svg"] or self.stack and self.stack[-1][0] in APART and self.foreign[-1:] == ["math"]:
+            self.text(" ")
+        elif name == "optgroup" and self.selects:
+            self.selects[-1]["disabled"] = False
+        elif name == "option" and self.selects and self.selects[-1]["options"]:
+            self.selects[-1]["options"][-1][-1] = " ".join(" ".join(self.flow.finish()).split())
+            self.flow = Block()
+        elif name == "select" and self.selects:
+            select = self.selects.pop()
+            self.flow = select["outer"]
+            self.lists, self.quotes, self.mark, self.pre = select["state"]
+            for shown in chosen(select["options"], select["box"]):
+                if shown:
+                    self.flow.text(shown, "" if self.flow.line else self.lead())
+                if select["box"]:
+                    self.flow.end_line()
         if name in BLOCK and not (name == "table"):
             self.flow.end_line()
             self.flow.gap |= name in SPACED and not (self.lists and name in ("ul", "ol"))
@@ -271,7 +331,7 @@ class Renderer:
                 self.end(name)
                 continue
             self.start(name, attributes)
-            if name in RAW:
+            if name in RAW and not (self.foreign and SELF_CLOSED.search(attributes)):
                 close = re.compile(rf"</{name}(?=[\s/>])[^>]*>|\Z", re.I).search(source, at)
                 if name == "textarea" or name == "xmp":
                     self.text(source[at : close.start()])
@@ -289,6 +349,19 @@ def attribute(attributes: str, name: str) -> str:
     return ""
 
 
+def has(attributes: str, name: str) -> bool:
+    return any(m[1].lower() == name for m in ATTRIBUTE.finditer(attributes))
+
+
+def chosen(options: list[list], box: bool) -> list[str]:
+    """What a closed select shows: the last selected option, else the first that is not disabled; a list box shows all."""
+    texts = [label or text or "" for label, _, _, _, text in options]
+    if box:
+        return [t for t, o in zip(texts, options) if not o[3]]
+    selected = [t for t, o in zip(texts, options) if o[1]][-1:]
+    return selected or [t for t, o in zip(texts, options) if not o[2]][:1]
+
+
 def is_hidden(attributes: str) -> bool:
     low = attributes.lower()
     if "hid" not in low and "none" not in low:

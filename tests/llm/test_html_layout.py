@@ -32,6 +32,23 @@ def test_tables():
     assert shown("<table><caption>cap</caption><tr><td>a<p>b</p></td><td><table><tr><td>i<td>j</table></td></tr></table>") == "cap\na  i  j\nb"
 
 
+def test_drawings_formulas_and_objects():
+    assert shown("a <svg><title>t</title><desc>d</desc><metadata/><path d='x'/><text>one</text><text>two</text><defs><text>no</text></defs></svg> b") == "a one two b"
+    assert shown("<svg><text display='none'>x</text><text>y</text></svg>z<svg/>w") == "y zw"
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mfrac><mi>a</mi><mn>2</mn></mfrac></mrow><annotation>tex</annotation></semantics></math>"
+    assert shown(f"so {formula} holds") == "so x=a 2 holds"
+    assert shown("<object data=f.pdf><param name=n value=v><p>See the file</p></object>") == "See the file"
+
+
+def test_select_shows_its_choice():
+    assert shown("Size <select><option>S<option selected>M &amp; L<option>XL</select> now") == "Size M & L now"
+    assert shown("<select><option disabled>Pick</option><optgroup label=g><option>One</option><option>Two</option></optgroup></select>") == "One"
+    assert shown("<select><option disabled selected hidden>Pick</option><option>One</option></select>") == "Pick"
+    assert shown("<select multiple><option>One<option hidden>No<option>Two</select>x") == "One\nTwo\nx"
+    assert shown("<ul><li><select><option label='L'>One</select></ul><select hidden><option>h</select>") == "- L"
+    assert shown("<table><tr><td><select><option>a<td>b</table>") == "a  b"
+
+
 def test_broken_input():
     assert shown(None) == "" and shown("") == ""
     assert shown("a</b></div><p>b<") == "a\n\nb<"
