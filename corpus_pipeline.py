@@ -22,7 +22,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Contaminated documents go; of the others, only benchmark passages are cut out."""
+    """Contaminated documents go; of the others, only benchmark passages of at least a window (13 words) are cut out.
+
+    Shorter items count as hits, but stay in documents that are not contaminated, also where they are covered whole.
+    """
     found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     clean = found.filter(~decontaminate.is_contaminated(decontaminate.n_hit(), F.col("n_words")))
     return _recounted(decontaminate.cut_spans(clean), docs)
