@@ -239,7 +239,7 @@ def bucket_rows(docs: DataFrame, text_col: str, shingle: int, similarity, n_buck
 
 
 def _ties(table: pa.Table) -> pa.Table:
-    """One bucket: (key, member, hub) of all keys with several members."""
+    """(key, member, hub) of the keys with several members, of a bucket's folded rows or of what one fold left."""
     bucket = np.uint64(table.column("bucket")[0].as_py())
     kinds = table.column("kind").to_numpy()
     data = table.column("data").to_pylist()
@@ -253,6 +253,16 @@ def _ties(table: pa.Table) -> pa.Table:
     return pa.table({"key": keys.view(np.int64), "member": out[1].view(np.int64), "hub": out[2].view(np.int64)})
 
 
+def tie_rows(rows: DataFrame) -> DataFrame:
+    """(key, member, hub) of the rows of ``bucket_rows``.
+
+    Only the folded (key, hub) rows of a bucket must meet in one group. What a fold left is done, and is unpacked apart,
+    so that the members of a hot key do not land in one task.
+    """
+    apart = F.when(F.col("kind") == 1, F.xxhash64("data")).otherwise(F.lit(0))
+    return rows.withColumn("apart", apart).groupBy("bucket", "apart").applyInArrow(_ties, "key long, member long, hub long")
+
+
 def _lanes(prefix: str) -> list[Column]:
     return [F.col(f"{prefix}.s{i}") for i in range(_LANES)]
 
@@ -492,8 +502,7 @@ def _components(docs, classes, total, id_col, text_col, shingle, similarity) ->
     """(class, root) of every class."""
     n_buckets = max(1, -(-total * 6 // (10 * BUCKET_KEYS)))
     ties = materialize(
-        bucket_rows(docs, text_col, shingle, similarity, n_buckets).groupBy("bucket").applyInArrow(_ties, "key long, member long, hub long"),
-        "ties",
+        tie_rows(bucket_rows(docs, text_col, shingle, similarity, n_buckets)), "ties",
     )
     pairs = ties.groupBy("member", "hub").count()
     # A member tries the hubs it shares most blocks with; what they miss is left to the crossing pairs.

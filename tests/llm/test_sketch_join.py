@@ -107,3 +107,23 @@ def test_large_buckets_in_units(spark, monkeypatch):
     rows = list(enumerate(near_copies(7)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(sj.near_duplicates(docs)) == brute(rows)
+
+
+def test_members_of_a_hot_key_are_spread(spark, monkeypatch):
+    base = " ".join(f"w{k}" for k in range(200))
+    docs = spark.createDataFrame([(i, f"{base} end{i} tail{i}") for i in range(240)], "doc_id long, text string").repartition(8)
+    rows = sj.bucket_rows(docs, "text", 5, sj.SIMILARITY, 1).persist()
+    left = rows.filter("kind = 1").count()
+    sizes = []
+    apply = type(rows.groupBy("bucket")).applyInArrow
+
+    def spy(self, function, schema):
+        sizes.append(self.count().collect())
+        return apply(self, function, schema)
+
+    monkeypatch.setattr(type(rows.groupBy("bucket")), "applyInArrow", spy)
+    got = sorted(map(tuple, sj.tie_rows(rows).collect()))
+    monkeypatch.undo()
+    assert left >= 8 and sum(r["apart"] != 0 for r in sizes[0]) == left
+    whole = rows.groupBy("bucket").applyInArrow(sj._ties, "key long, member long, hub long")
+    assert got == sorted(map(tuple, whole.collect()))
