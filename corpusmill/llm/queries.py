@@ -1,4 +1,4 @@
-"""The ten queries, their tables bound to the operators with production parameters."""
+"""The queries of this subpackage, their tables bound to the operators with production parameters."""
 
 from __future__ import annotations
 
@@ -113,3 +113,36 @@ def quality(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_documents(docs, train(docs, table(spark, sf_dir, "labels"))).drop("text")
+
+
+@query("op11_hard_negatives")
+def hard_negatives(spark, sf_dir):
+    from corpusmill.llm.hard_negatives import mine_hard_negatives
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", label), F.col("id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 3
+"""
