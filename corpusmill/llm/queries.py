@@ -146,3 +146,48 @@ FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) <= 3
 """
+
+
+@query("op12_phrases")
+def phrases(spark, sf_dir):
+    from corpusmill.llm.phrases import mine_collocations
+
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrases"] = r"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), lists AS (
+  SELECT doc_id, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT doc_id, lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+  FROM lists, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS a, min(doc_id) AS first_doc FROM grams GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2
+), cuts AS (
+  SELECT *, unnest(range(1, size)) AS k FROM candidates
+), scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, c.first_doc, c.k, x.a AS l, y.a AS r,
+         CAST((2000000 * c.a::HUGEINT) // (x.a + y.a)::HUGEINT AS BIGINT) AS score
+  FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.size], ' ')
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), parts AS (
+  SELECT lang, a, unnest(flatten(list_transform(range(2, size), lambda s: list_transform(range(1, size - s + 2), lambda p: array_to_string(w[p:p + s - 1], ' '))))) AS phrase
+  FROM candidates WHERE size >= 3
+), covered AS (
+  SELECT lang, phrase, max(a) AS most FROM parts GROUP BY ALL
+), ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+  FROM weakest w LEFT JOIN covered c ON c.lang = w.lang AND c.phrase = w.phrase WHERE c.most IS NULL OR 100 * c.most < 80 * a
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score, r.first_doc FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
+"""
