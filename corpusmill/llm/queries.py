@@ -191,3 +191,13 @@ WITH pieces AS (
 )
 SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score, r.first_doc FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
 """
+
+
+@query("op13_toxicity")
+def toxicity(spark, sf_dir):
+    from corpusmill.llm.toxicity import score_documents, train
+
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "voters")
