@@ -30,7 +30,8 @@ from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, spans
 from corpusmill.session import materialize
 
 BITMAP_BITS = 26
-CHUNK = 8 << 20
+CHUNK = 4 << 20
+PART = 1 << 16  # words hashed or compared at once
 UNKNOWN = "und"
 
 # What separates pieces, and words inside a piece.
@@ -56,8 +57,9 @@ class Words:
     def __init__(self, raw: np.ndarray, at: np.ndarray, language: np.ndarray):
         self.raw = _LOWER[raw]
         self.starts, self.ends, self.row = spans(self.raw, at, _WORD)
-        self.plain = hash_spans(self.raw, self.starts, self.ends, fold=False)
         n = len(self.starts)
+        parts = [hash_spans(self.raw, self.starts[k : k + PART], self.ends[k : k + PART], fold=False) for k in range(0, n, PART)]
+        self.plain = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         cuts = np.concatenate(([0], np.cumsum(_CUT[raw], dtype=np.int64)))[self.starts]
         new = np.ones(n, bool)
         new[1:] = (self.row[1:] != self.row[:-1]) | (cuts[1:] != cuts[:-1])
@@ -85,12 +87,14 @@ class Words:
         sizes, like = self.ends - self.starts, first[number]
         same = sizes == sizes[like]
         # Compare the bytes of each word with those of the first one that has its hash.
-        size, own, other = sizes[same], self.starts[same], self.starts[like][same]
-        heads = np.concatenate(([0], np.cumsum(size)[:-1])) if len(size) else size
-        step = np.arange(int(size.sum())) - np.repeat(heads, size)
-        differs = self.raw[np.repeat(own, size) + step] != self.raw[np.repeat(other, size) + step]
-        if len(size):
-            same[np.flatnonzero(same)[np.add.reduceat(differs, heads, dtype=np.int64) > 0]] = False
+        for at in range(0, len(sizes), PART):
+            here = at + np.flatnonzero(same[at : at + PART])
+            if len(here):
+                size = sizes[here]
+                heads = np.concatenate(([0], np.cumsum(size)[:-1]))
+                step = np.arange(int(size.sum())) - np.repeat(heads, size)
+                differs = self.raw[np.repeat(self.starts[here], size) + step] != self.raw[np.repeat(self.starts[like[here]], size) + step]
+                same[here] = np.add.reduceat(differs, heads, dtype=np.int64) == 0
         # Words of equal hash and other bytes are numbered by their bytes.
         more: dict[bytes, int] = {}
         extra = []
