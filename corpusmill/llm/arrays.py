@@ -29,15 +29,28 @@ NOT_SPACE = ~byte_set((0x20, 0x20), (0x09, 0x0D))
 NOT_NEWLINE = ~byte_set((0x0A, 0x0A))
 
 
-def per_process(key, build: Callable[[], object]):
-    """A value built once per worker process.
+def per_process(owner: str, key, build: Callable[[], object]):
+    """A value of the operator ``owner`` that is built once per worker process.
 
-    Functions sent to workers by value have no module globals that outlive a task, so the value hangs on ``sys``.
+    Functions sent to workers by value have no module globals that outlive a task, so the value hangs on ``sys``. Worker processes
+    serve many operators one after the other, so a task of one operator lets go of the values of all others.
     """
     store = sys.__dict__.setdefault("_corpusmill_values", {})
-    if key not in store:
-        store[key] = build()
-    return store[key]
+    release(owner)
+    values = store.setdefault(owner, {})
+    if key not in values:
+        values[key] = build()
+    return values[key]
+
+
+def release(owner: str | None = None) -> None:
+    """Let go of the values that earlier tasks of this process built, but for those of ``owner``.
+
+    Tasks of operators that hold none call it too, so that memory does not pile up from one stage of a job to the next.
+    """
+    store = sys.__dict__.get("_corpusmill_values", {})
+    for other in [name for name in store if name != owner]:
+        del store[other]
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -4,7 +4,8 @@ All normalised items go into one suffix automaton over words. A document's words
 keeps the longest suffix of the words read so far that occurs in some item. A match of at least ``window`` words, or of
 a whole shorter item, marks the matched words. Nothing is shuffled: documents pass through in place. Items are a stated
 query set; they are taken in blocks of at most ``BLOCK_WORDS`` words (an item longer than that is a block of its own),
-so what one task holds does not grow with the benchmark; each further block is one more narrow pass.
+so what one task holds does not grow with the benchmark. Each further block is one more pass over what the last one wrote:
+a stage runs all its steps at once, and steps of one stage would hold the automata of all blocks together.
 
 Defined results: null and empty texts have no words and no hits; items without words never match; items with equal ids
 count once; an item with a null id marks words but is not listed; no items at all means no hits.
@@ -20,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import per_process
+from corpusmill.llm.arrays import per_process, release
+from corpusmill.session import materialize
 
 WINDOW = 13
 BLOCK_WORDS = 100_000
@@ -203,6 +205,8 @@ def find_contamination(
     schema = T.StructType([*docs.schema.fields, *added])
     out, done = docs, False
     for block in item_blocks(items, item_id, item_text, block_words):
+        if done:
+            out = materialize(out, "scanned")
         out, done = out.mapInArrow(_scan(block, text_col, window, done), schema), True
     return out if done else docs.mapInArrow(_scan([], text_col, window, False), schema)
 
@@ -212,7 +216,7 @@ def _scan(block, text_col: str, window: int, again: bool):
     digest = hashlib.sha256(repr((window, block)).encode()).hexdigest()
 
     def run(batches):
-        automaton = per_process(("automaton", digest), lambda: SuffixAutomaton(block, window))
+        automaton = per_process("decontaminate", digest, lambda: SuffixAutomaton(block, window))
         table = word_table()
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.large_binary()).to_pylist()
@@ -258,6 +262,7 @@ def cut_spans(docs: DataFrame, text_col: str = "text", min_span: int = WINDOW) -
     def run(batches):
         import re
 
+        release()
         word = re.compile(rb"[^ ]+")
         table = word_table()
         for batch in batches:

@@ -64,6 +64,7 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"[ \t\n\r\f]+")
+MAX_INDENT = 24  # levels of lists and quotes that indent
 HIDING = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden")
 
 
@@ -115,8 +116,9 @@ class Renderer:
         self.counts = {"blocks": 0, "lists": 0, "tables": 0}
 
     def lead(self) -> str:
-        depth = max(0, len(self.lists) - 1)
-        out = "> " * self.quotes + "  " * depth
+        # Deeper levels are written like the deepest one shown, so that a line's indent is bounded.
+        depth = min(MAX_INDENT, max(0, len(self.lists) - 1))
+        out = "> " * min(MAX_INDENT, self.quotes) + "  " * depth
         if self.mark is not None:
             out, self.mark = out + self.mark, None
         elif self.lists:
@@ -315,14 +317,18 @@ class Renderer:
 
     def page(self, source: str) -> str:
         at, size = 0, len(source)
+        stop = source.rfind(">") + 1  # no tag ends beyond
         while at < size:
-            m = TOKEN.search(source, at)
+            m = TOKEN.search(source, at, stop) if at < stop else None
             if m is None:
-                self.text(source[at:])
+                # An unfinished comment hides the rest.
+                self.text(source[at:].partition("<!--")[0])
                 break
             if m.start() > at:
                 self.text(source[at : m.start()])
             at = m.end()
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                break
             slash, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
             if not name:
                 continue

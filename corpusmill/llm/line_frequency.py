@@ -79,12 +79,12 @@ def base_columns(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def document_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """(id, host, line hash, characters of all such lines) once per document and line."""
+    """(id, host, line hash, characters of all such lines) once per document and line; hosts are marked, so that null is one more."""
     lines = F.transform(
         lines_of(F.coalesce(F.col(text_col), F.lit(""))),
         lambda line: F.struct(F.xxhash64(normalised(line)).alias("line"), F.length(F.trim(line)).cast("long").alias("chars")),
     )
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.explode(lines).alias("l"))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.concat(F.lit("="), F.col(host_col).cast("string")), F.lit("")).alias("host"), F.explode(lines).alias("l"))
     return rows.groupBy("host", "l.line", "id").agg(F.sum("l.chars").alias("chars"))
 
 

@@ -17,10 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.functions.common import let
+
 BASE_KINDS = ["email", "ip", "card", "phone"]
 EXTRA_KINDS = ["iban", "national_id"]
 KINDS = BASE_KINDS + EXTRA_KINDS
 CONTEXT = 60
+RUN = 128  # matches whose positions are added up together
 REPORT = 0.6
 
 # The contract's patterns. \G lets a match begin where the last one ended.
@@ -104,28 +107,45 @@ def spans_of(kind: str, text: Column) -> Column:
     """Confirmed spans of one kind with scores, by start."""
     pattern = F.lit(PATTERNS[kind])
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    gaps = F.split(text, PATTERNS[kind], -1)
     # The text of a span is the match, of an account the part of what follows its head that is one.
-    runs = F.regexp_extract_all(text, pattern, F.lit(1)) if kind == "iban" else matches
-    sizes = F.transform(F.arrays_zip(gaps.alias("g"), matches.alias("m"), runs.alias("r")), lambda p: F.struct(
-        F.length(p["g"]).alias("gap"), F.length(p["m"]).alias("size"), (_account(p["r"]) if kind == "iban" else p["r"]).alias("match")
-    ))
-    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.array().cast("array<struct<start:int,match:string>>").alias("found"))
+    runs = F.regexp_extract_all(text, pattern, F.lit(1)) if kind == "iban" else F.lit(None).cast("array<string>")
+    cut = F.struct(F.split(text, PATTERNS[kind], -1).alias("gaps"), matches.alias("matches"), runs.alias("runs"))
+    none_yet = F.array().cast("array<struct<start:int,match:string,i:int>>")
 
     def add(acc: Column, p: Column) -> Column:
         begin = acc["at"] + p["gap"]
         valid = p["match"].isNotNull() & (begin >= acc["free"]) & confirmed(kind, p["match"])
-        one = F.struct(begin.alias("start"), p["match"].alias("match"))
+        one = F.struct(begin.alias("start"), p["match"].alias("match"), p["i"].alias("i"))
         return F.struct(
             (begin + F.coalesce(p["size"], F.lit(0))).alias("at"),
             F.when(valid, begin + F.length(p["match"])).otherwise(acc["free"]).alias("free"),
             F.when(valid, F.concat(acc["found"], F.array(one))).otherwise(acc["found"]).alias("found"),
         )
 
-    found = F.aggregate(sizes, start, add, lambda acc: acc["found"])
-
-    def scored(p: Column) -> Column:
-        before = F.substring(text, F.greatest(p["start"] - CONTEXT, F.lit(0)) + 1, F.least(p["start"], F.lit(CONTEXT)))
+    def spans(c: Column) -> Column:
+        texts = F.transform(c["runs"], _account) if kind == "iban" else c["matches"]
+        sizes = F.transform(F.arrays_zip(c["gaps"].alias("g"), c["matches"].alias("m"), texts.alias("r")), lambda p, i: F.struct(
+            F.length(p["g"]).alias("gap"), F.length(p["m"]).alias("size"), p["r"].alias("match"), i.alias("i")
+        ))
+        # Positions in runs of RUN matches, so that appending to an array copies no more than a run.
+        last = F.floor((F.size(c["gaps"]) - 1) / RUN).cast("int")
+        runs = let(sizes, lambda x: F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(x, k * RUN + 1, F.lit(RUN))))
+        begin = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.array().cast("array<array<struct<start:int,match:string,i:int>>>").alias("found"))
+
+        def add_run(acc: Column, run: Column) -> Column:
+            done = F.aggregate(run, F.struct(acc["at"].alias("at"), acc["free"].alias("free"), none_yet.alias("found")), add)
+            return let(done, lambda d: F.struct(d["at"].alias("at"), d["free"].alias("free"), F.concat(acc["found"], F.array(d["found"])).alias("found")))
+
+        found = F.aggregate(runs, begin, add_run, lambda acc: F.flatten(acc["found"]))
+        joined = F.zip_with(c["gaps"], c["matches"], lambda g, m: F.concat(g, F.coalesce(m, F.lit(""))))
+        both = F.struct(found.alias("found"), joined.alias("joined"), c["gaps"].alias("gaps"))
+        return let(both, lambda b: F.transform(b["found"], lambda p: scored(b, p)))
+
+    def scored(b: Column, p: Column) -> Column:
+        # The characters before a span stand in its own gap and, as matches have two or more, in a bounded number of pieces before it.
+        n = F.least(p["i"], F.lit(CONTEXT // 2))
+        earlier = F.array_join(F.slice(b["joined"], p["i"] - n + 1, n), "")
+        before = F.right(F.concat(earlier, F.element_at(b["gaps"], p["i"] + 1)), F.lit(CONTEXT))
         gain = F.when(before.rlike(f"(?i){CONTEXT_WORDS[kind]}"), CONTEXT_GAIN).otherwise(0.0)
         return F.struct(
             F.lit(kind).alias("kind"), p["start"].cast("long").alias("start"),
@@ -133,7 +153,7 @@ def spans_of(kind: str, text: Column) -> Column:
             F.least(F.lit(1.0), F.round(F.lit(SCORES[kind]) + gain, 2)).alias("score"),
         )
 
-    out = F.transform(found, scored)
+    out = let(cut, spans)
     if kind in EXTRA_KINDS:
         out = F.filter(out, lambda s: s["score"] >= REPORT)
     none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,score:double>>")

@@ -13,6 +13,8 @@ points, ends exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -99,6 +101,10 @@ class SecretScanner:
         """Incompressible tokens in a sensitive context that go beyond the spans already taken."""
         out = []
         end_of_last = 0
+        # How far the spans that begin up to each one reach: a candidate lies inside one of them if the last of those that
+        # begin no later reaches its end.
+        taken = sorted(taken, key=lambda s: s.start)
+        starts, reach = [s.start for s in taken], list(accumulate((s.end for s in taken), max))
         for word in self.sensitive.finditer(text):
             # Candidates that begin within reach of this word.
             at, stop = max(word.start(), end_of_last), word.end() + CONTEXT
@@ -106,7 +112,8 @@ class SecretScanner:
                 if m.start() > stop:
                     break
                 at = end_of_last = m.end()
-                if any(s.start <= m.start() and m.end() <= s.end for s in taken):
+                before = bisect_right(starts, m.start())
+                if before and reach[before - 1] >= m.end():
                     continue
                 cost = self.marginal(text, *m.span())
                 if cost >= self.novelty:
@@ -124,7 +131,7 @@ class SecretScanner:
 
 
 def scanner(novelty: float, min_token: int) -> SecretScanner:
-    return per_process(("secrets", novelty, min_token), lambda: SecretScanner(novelty, min_token))
+    return per_process("secrets", (novelty, min_token), lambda: SecretScanner(novelty, min_token))
 
 
 SPANS = T.ArrayType(T.StructType([

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import NOT_SPACE, chunks, hash_spans, mix, shingles, spans
+from corpusmill.llm.arrays import NOT_SPACE, chunks, hash_spans, mix, release, shingles, spans
 from corpusmill.llm.components import connected
 from corpusmill.session import materialize
 
@@ -161,6 +161,7 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
     schema = T.StructType([T.StructField("id_", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in names[1:])])
 
     def run(batches):
+        release()
         for batch in batches:
             for first, raw, at in chunks(batch.column(1)):
                 n = len(at) - 1
@@ -215,6 +216,7 @@ def bucket_rows(docs: DataFrame, text_col: str, shingle: int, similarity, n_buck
         )
 
     def run(batches):
+        release()
         for batch in batches:
             keys, members, held = [], [], 0
             for _, raw, at in chunks(batch.column(0)):
@@ -312,6 +314,7 @@ def _compared(pairs: DataFrame, held: DataFrame, column: str, fit) -> DataFrame:
     )
 
     def run(table: pa.Table) -> pa.Table:
+        release()
         names = table.column("member").to_pylist()
         data = [np.frombuffer(x, np.uint64) for x in table.column("data").to_pylist()]
         hub = next((d for n, d in zip(names, data) if n is None), None)
@@ -350,6 +353,7 @@ def _held_sets(rows: DataFrame, shingle: int, row_bits: np.ndarray, class_bits:
     shared = rows.sparkSession.sparkContext.broadcast((row_bits, class_bits))
 
     def run(batches):
+        release()
         row_bits, class_bits = shared.value
         for batch in batches:
             batch = batch.filter(pa.array(may_hold(row_bits, batch.column(0).to_numpy())))

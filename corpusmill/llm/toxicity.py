@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, spans, texts_of
+from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, release, spans, texts_of
 from corpusmill.session import materialize
 
 BITS = 18
@@ -265,6 +265,7 @@ def _halves(ids: pa.Array) -> np.ndarray:
 
 
 def _runs(batches, ids: int, texts: int):
+    release()
     for batch in batches:
         for row, _, at in chunks(batch.column(texts), _CHUNK):
             part = batch.slice(row, len(at) - 1)

@@ -242,7 +242,7 @@ class TrieEncoder:
 
 
 def encoder(path: str) -> TrieEncoder:
-    return per_process(("trie encoder", path), lambda: TrieEncoder(path))
+    return per_process("bpe", ("trie encoder", path), lambda: TrieEncoder(path))
 
 
 def encode_texts(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: str = "ids", with_text: bool = False) -> DataFrame:
@@ -294,7 +294,7 @@ def token_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
         from hashlib import sha256
 
         coder = encoder(vocabulary)
-        number = per_process(("numbers", vocabulary), lambda: [str(i) for i in range(max(coder.tokens) + 1)])
+        number = per_process("bpe", ("numbers", vocabulary), lambda: [str(i) for i in range(max(coder.tokens) + 1)])
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.large_binary())
             counts, codes, decoded = [], [], []
