@@ -26,9 +26,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Shorter items count as hits, but stay in documents that are not contaminated, also where they are covered whole.
     """
-    found = decontaminate.find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    # Columns of the caller that have the names of the operator's results come back unchanged.
+    aside = {c: f"__{c}" for c in ("n_words", "hit_ranges", "hit_items") if c in docs.columns}
+    found = decontaminate.find_contamination(docs.withColumnsRenamed(aside), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     clean = found.filter(~decontaminate.is_contaminated(decontaminate.n_hit(), F.col("n_words")))
-    return _recounted(decontaminate.cut_spans(clean), docs)
+    cut = decontaminate.cut_spans(clean).drop("n_words", "hit_ranges", "hit_items")
+    return _recounted(cut.withColumnsRenamed({b: a for a, b in aside.items()}), docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
