@@ -20,6 +20,7 @@ from corpusmill.functions.keywords import extract_keywords
 from corpusmill.functions.questions import generate_answers, generate_questions, zip_shorter
 from corpusmill.operators.ordering import numbered
 from corpusmill.operators.summaries import summarize
+from corpusmill.operators.terms import sparse_cosine_pairs, term_vectors
 from corpusmill.operators.vectors import cluster_vectors, embed_texts
 from corpusmill.sinks import writers as W
 
@@ -75,10 +76,33 @@ def summaries(spark, sf):
     return summarize(records_base(spark, sf).select("seq", "content")).select("seq", "summary")
 
 
-@query("embed_texts")
+# Unit tf-idf weights of every document and term that not all documents have.
+_TERMS = r"""tf AS (SELECT doc_id AS seq, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM documents) GROUP BY ALL),
+    weighed AS (SELECT seq, term, tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) AS w FROM tf JOIN (SELECT term, count(*) AS df FROM tf GROUP BY term) USING (term)),
+    unit AS (SELECT seq, term, (w / sqrt(sum(w * w) OVER (PARTITION BY seq)))::FLOAT AS w FROM weighed WHERE w > 0)"""
+
+
+@query(
+    "embed_texts",
+    f"""WITH {_TERMS} SELECT d.doc_id AS seq, coalesce(n, 0) AS size, coalesce(total, 0) AS total, terms FROM documents d LEFT JOIN
+    (SELECT seq, count(*) AS n, round(sum(w::DOUBLE), 3) AS total, md5(string_agg(term, ' ' ORDER BY term)) AS terms FROM unit GROUP BY seq) t ON t.seq = d.doc_id""",
+)
 def embeddings(spark, sf):
     rows = embed_texts(records_base(spark, sf).select("seq", "content"))
-    return rows.select("seq", F.size("content_embedding").alias("size"))
+    weights, terms = F.col("content_embedding"), F.col("content_embedding_terms")
+    total = F.round(F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w.cast("double")), 3)
+    listed = F.when(F.size(terms) > 0, F.md5(F.array_join(terms, " ").cast("binary")))
+    return rows.select("seq", F.size(weights).cast("long").alias("size"), total.alias("total"), listed.alias("terms"))
+
+
+@query(
+    "sparse_cosine_pairs",
+    f"""WITH {_TERMS} SELECT a.seq AS lo, b.seq AS hi, round(sum(a.w::DOUBLE * b.w::DOUBLE), 4) AS cosine FROM unit a JOIN unit b ON a.term = b.term AND a.seq < b.seq
+    GROUP BY a.seq, b.seq HAVING sum(a.w::DOUBLE * b.w::DOUBLE) >= 0.9""",
+)
+def term_pairs(spark, sf):
+    found = term_vectors(records_base(spark, sf).select("seq", "content"))
+    return sparse_cosine_pairs(found, 0.9).withColumn("cosine", F.round("cosine", 4))
 
 
 @query("embedding_column_kept", "SELECT vec_id, len(embedding) AS size FROM embeddings")

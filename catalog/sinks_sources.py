@@ -267,7 +267,7 @@ def run_named_source(spark, sf):
 
 @query("quality_pass")
 def whole_quality_pass(spark, sf):
-    result = quality_pass(build_records(page_texts(spark, sf), STOP_WORDS), threshold=0.999)
+    result = quality_pass(build_records(page_texts(spark, sf), STOP_WORDS))
     return result.accounting
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.constants import EMBEDDING_THRESHOLD
 from corpusmill.operators.resolver import removed_by_first_come
+from corpusmill.operators.terms import terms_removed
 from corpusmill.functions.common import all_finite
 from corpusmill.session import materialize
 
@@ -221,6 +222,11 @@ def deduplicate_by_embedding(
     embedding: str = "content_embedding",
     **options,
 ) -> tuple[DataFrame, DataFrame]:
-    vectors = records.select(F.col(seq).alias("seq"), F.col(embedding).alias("embedding"))
-    removed = embedding_removed(vectors, threshold, **options).withColumnRenamed("seq", seq)
+    """``records`` without later near copies, and the removed order numbers; sparse vectors where there is a column of their terms."""
+    if f"{embedding}_terms" in records.columns:
+        vectors = records.select(F.col(seq).alias("seq"), F.col(f"{embedding}_terms").alias("terms"), F.col(embedding).alias("weights"))
+        removed = terms_removed(vectors, threshold).withColumnRenamed("seq", seq)
+    else:
+        vectors = records.select(F.col(seq).alias("seq"), F.col(embedding).alias("embedding"))
+        removed = embedding_removed(vectors, threshold, **options).withColumnRenamed("seq", seq)
     return records.join(removed, seq, "left_anti"), removed

@@ -1,35 +1,30 @@
-"""Embedding columns and clusters with Spark ML."""
+"""Embedding columns, and clusters with Spark ML."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.constants import CLUSTER_K, CLUSTER_SEED
 from corpusmill.functions.common import all_finite
-from corpusmill.functions.keywords import tokens
+from corpusmill.operators.terms import term_vectors
 
 
-def embed_texts(
-    docs: DataFrame, content: str = "content", output: str = "content_embedding", size: int = 64
-) -> DataFrame:
-    """Keep an embedding column that exists; otherwise add unit tf-idf vectors of ``size`` hashed terms."""
+def embed_texts(docs: DataFrame, content: str = "content", output: str = "content_embedding", key: str = "seq") -> DataFrame:
+    """Keep an embedding column that exists; otherwise add sparse unit tf-idf vectors over the whole vocabulary.
+
+    ``output`` holds the weights and ``<output>_terms`` their terms, in ascending order; ``key`` must be unique. Texts without
+    a term that tells them from others have empty arrays.
+    """
     if output in docs.columns:
         return docs
-    pipeline = Pipeline(
-        stages=[
-            HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=size),
-            IDF(inputCol="_tf", outputCol="_tfidf"),
-            Normalizer(inputCol="_tfidf", outputCol="_unit"),
-        ]
-    )
-    prepared = docs.withColumn("_tokens", tokens(F.col(content)))
-    embedded = pipeline.fit(prepared).transform(prepared)
-    return embedded.withColumn(output, vector_to_array("_unit", "float32")).drop("_tokens", "_tf", "_tfidf", "_unit")
+    found = term_vectors(docs, content, key).withColumnsRenamed({"weights": output, "terms": f"{output}_terms"})
+    return docs.drop(f"{output}_terms").join(found, key, "left").withColumns({
+        output: F.coalesce(output, F.array().cast("array<float>")), f"{output}_terms": F.coalesce(f"{output}_terms", F.array().cast("array<string>"))
+    })
 
 
 def cluster_vectors(

@@ -254,8 +254,11 @@ def test_clusters(spark):
 
 def test_text_embeddings(spark):
     df = spark.createDataFrame([(0, "a b c"), (1, "c d"), (2, "")], "seq int, content string")
-    got = {r["seq"]: r["content_embedding"] for r in vectors.embed_texts(df, size=16).collect()}
-    assert len(got[0]) == 16 and abs(sum(x * x for x in got[1]) - 1) < 1e-6
+    got = {r["seq"]: r for r in vectors.embed_texts(df).collect()}
+    assert got[0]["content_embedding_terms"] == ["a", "b", "c"] and got[2]["content_embedding"] == [] == got[2]["content_embedding_terms"]
+    assert abs(sum(x * x for x in got[1]["content_embedding"]) - 1) < 1e-6
+    rare, common = math.log(4 / 2), math.log(4 / 3)
+    assert got[1]["content_embedding"] == pytest.approx([common / math.hypot(rare, common), rare / math.hypot(rare, common)])
 
 
 def test_entities_of_many_words_and_marks(spark):
