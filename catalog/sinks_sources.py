@@ -104,7 +104,7 @@ def json_blobs(spark, sf):
 def sink_progress(spark, sf):
     path = new_path(spark, "progress")
     W.write_progress(progress(records_base(spark, sf)), path)
-    snap = spark.read.schema("pages_processed bigint, languages array<string>").json(path)
+    snap = W.read_progress(spark, path, "pages_processed bigint, languages array<string>")
     return snap.select("pages_processed", F.array_join("languages", ",").alias("languages"))
 
 

@@ -10,6 +10,8 @@ from catalog.records import page_texts
 from corpusmill.operators.summaries import fit_idf
 from corpusmill.schema import JOB_DDL
 from corpusmill.session import new_path
+from corpusmill.sinks.writers import read_progress
+from corpusmill.streaming import alerts as A
 from corpusmill.streaming import streams as S
 
 WIDTH, SLIDE, SLIDE_SECONDS = "1 day", "6 hours", 6 * 3600
@@ -130,6 +132,32 @@ def stream_error_rates(spark, sf):
     return _rate_rows(_run(spark, rates, "rates"))
 
 
+@query(
+    "stream_error_rate_alerts",
+    f"""WITH {_RATES}, held AS (SELECT window_end, min(error_rate) OVER x AS low, count(*) OVER x AS n FROM rated
+      WINDOW x AS (ORDER BY window_end RANGE BETWEEN INTERVAL 12 HOUR PRECEDING AND CURRENT ROW))
+    SELECT 'error_rate' AS rule, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS fired_at FROM held
+    WHERE low > 0.5 AND n = 3 AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+)
+def stream_error_alerts(spark, sf):
+    fired = A.error_rate_alert_stream(
+        event_stream(spark, sf), _success(), _error(), WIDTH, SLIDE, "10 minutes", SLIDE_SECONDS, HOLD_SECONDS, 0.5
+    )
+    return stamped(A.with_state_store(spark, lambda: _run(spark, fired, "error-alerts")))
+
+
+@query(
+    "stream_stall_alerts",
+    f"""WITH {_BEATS}, held AS (SELECT window_end, max(successes) OVER x AS high, count(*) OVER x AS n FROM counts
+      WINDOW x AS (ORDER BY window_end ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+    SELECT 'stall' AS rule, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS fired_at FROM held
+    WHERE high = 0 AND n = 3 AND window_end <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+)
+def stream_stall_alerts(spark, sf):
+    fired = A.stall_alert_stream(event_stream(spark, sf), _success(), FAST_SECONDS, 2 * FAST_SECONDS, "10 minutes")
+    return stamped(A.with_state_store(spark, lambda: _run(spark, fired, "stall-alerts")))
+
+
 @query(
     "stream_mean_durations",
     f"""WITH {_DURATIONS} SELECT {_DURATION_COLUMNS} FROM means
@@ -154,7 +182,7 @@ def stream_progress(spark, sf):
     docs = S.read_stream(spark, sf, ddl, "parquet", "documents.parquet").select(F.col("lang").alias("language"))
     path = new_path(spark, "progress")
     S.progress_stream(docs, path, new_path(spark, "progress-state"))
-    snap = spark.read.schema("pages_processed bigint, languages array<string>").json(path)
+    snap = read_progress(spark, path, "pages_processed bigint, languages array<string>")
     return snap.select("pages_processed", F.array_join("languages", ",").alias("languages"))
 
 
@@ -170,7 +198,7 @@ def stream_jobs(spark, sf):
 @query(
     "stream_records",
     f"""WITH {RECORDS_SQL}, c AS (SELECT seq, {record_text_sql('content', 'language')} AS content FROM records_base)
-    SELECT seq, length(content) AS length FROM c WHERE length(content) >= 150""",
+    SELECT seq, length(content) AS length, length(content) < 150 AS short FROM c""",
 )
 def stream_records(spark, sf):
     tasks = new_path(spark, "tasks")
@@ -180,5 +208,6 @@ def stream_records(spark, sf):
     )
     path = new_path(spark, "built")
     S.record_stream(pages, path, new_path(spark, "built-state"), STOP_WORDS, fit_idf(records_base(spark, sf)))
-    good = spark.read.parquet(f"{path}/records").select("seq", "metadata.length")
-    return good.unionByName(spark.read.parquet(f"{path}/rejects").select("seq", "metadata.length"))
+    good = spark.read.parquet(f"{path}/records").select("seq", "metadata.length", F.lit(False).alias("short"))
+    bad = spark.read.parquet(f"{path}/rejects").select("seq", "metadata.length", F.array_contains("reasons", "content").alias("short"))
+    return good.unionByName(bad)

@@ -10,7 +10,23 @@ from pyspark.sql import functions as F
 
 from corpusmill.constants import MAX_CATEGORY_DEPTH, NS_CATEGORY, NS_MAIN
 from corpusmill.operators.categories import strip_category_prefix
-from corpusmill.session import materialize
+from corpusmill.session import bucketed, materialize
+
+
+SALTS = 8  # parts into which the edges of one page are dealt
+
+
+def _laid_out(edges: DataFrame, key: str, target: str, name: str) -> DataFrame:
+    """Edges bucketed once by their source, so that each level of a walk moves only the frontier.
+
+    The edges of one source are dealt over ``SALTS`` parts by their target, as a hub may have a large share of all edges.
+    """
+    return bucketed(edges.withColumn("salt", F.pmod(F.xxhash64(target), F.lit(SALTS))), [key, "salt"], name)
+
+
+def _salted(frontier: DataFrame) -> DataFrame:
+    """The frontier once for each part."""
+    return frontier.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
 
 
 def category_members(
@@ -26,14 +42,14 @@ def category_members(
     counts once, at its first level and there on its first path of member positions. ``cap`` keeps the first
     pages of a root by path.
     """
-    edges = membership.select("parent", "member", "ns", "url", "pos")
+    edges = _laid_out(membership.select(F.col("parent").alias("category"), "member", "ns", "url", "pos"), "category", "member", "members")
     frontier = roots.select("root").distinct().select(
         "root", F.col("root").alias("category"), F.array().cast("array<int>").alias("path")
     )
     visited = None
     levels: list[DataFrame] = []
     for depth in range(max_depth + 1):
-        reached = frontier.join(edges, frontier["category"] == edges["parent"]).select(
+        reached = _salted(frontier).join(edges, ["category", "salt"]).select(
             "root", "category", "member", "ns", "url", F.concat("path", F.array("pos")).alias("path")
         )
         first = reached.groupBy("root", "member").agg(
@@ -65,31 +81,33 @@ def crawl_links(
     links: DataFrame,
     starts: DataFrame,
     depth: int = 1,
-    visited: Sequence[str] = (),
+    visited: Sequence[str] | DataFrame = (),
     cap: int | None = None,
 ) -> DataFrame:
     """Breadth-first link rows from each start page: (start, src, pos, title, url, depth, path).
 
     ``links``: src, pos, url, dst. Pages reached within ``depth`` links are opened, in breadth-first order,
     each once. An opened page yields every link whose target was not opened before it and is not in
-    ``visited``; a target can therefore appear more than once. ``cap`` keeps the first rows of a start.
+    ``visited`` (titles, or a table of them in the column ``title``); a target can therefore appear more than once. ``cap`` keeps the first rows of a start.
 
     ``path`` is the list of link positions on a page's first path; (depth, path) is the order of opening.
     """
-    blocked = F.col("title").isin(list(visited)) if visited else F.lit(False)
+    if isinstance(visited, DataFrame):
+        shut = visited.select("title").distinct()
+    else:
+        shut = links.sparkSession.createDataFrame([(t,) for t in visited], "title string") if visited else None
+    allowed = lambda df: df if shut is None else df.join(shut, "title", "left_anti")
     edges = links.filter(F.col("dst").isNotNull()).select("src", "pos", "url", F.col("dst").alias("title"))
+    edges = _laid_out(allowed(edges), "src", "title", "links")
     opened = (
-        starts.select("start").distinct()
-        .select("start", F.col("start").alias("title"))
-        .filter(~blocked)
+        allowed(starts.select("start").distinct().select("start", F.col("start").alias("title")))
         .select("start", "title", F.lit(0).alias("depth"), F.array().cast("array<int>").alias("path"))
     )
     frontier = opened
     for level in range(1, depth + 1):
         reached = (
-            frontier.select("start", F.col("title").alias("src"), "path")
-            .join(edges, "src")
-            .filter(~blocked)
+            _salted(frontier.select("start", F.col("title").alias("src"), "path"))
+            .join(edges, ["src", "salt"])
             .groupBy("start", "title")
             .agg(F.min(F.concat("path", F.array("pos"))).alias("path"))
             .join(opened.select("start", "title"), ["start", "title"], "left_anti")
@@ -105,8 +123,7 @@ def crawl_links(
         "start", "title", F.struct("depth", "path").alias("target")
     )
     emitted = (
-        sources.join(edges, "src")
-        .filter(~blocked)
+        _salted(sources).join(edges, ["src", "salt"])
         .join(targets, ["start", "title"], "left")
         .filter(F.col("target").isNull() | (F.col("target") > F.struct("depth", "path")))
         .select("start", "src", "pos", "title", "url", "depth", "path")

@@ -30,13 +30,15 @@ from corpusmill.sources.registry import union_sources
 from corpusmill.sources.tables import read_records
 
 
-def clean_pages(pages: DataFrame, stop_words: dict[str, Iterable[str]] | None = None) -> DataFrame:
-    """Replace ``text`` by cleaned ``content`` and drop pages that are too short.
+def clean_pages(pages: DataFrame, stop_words: dict[str, Iterable[str]] | None = None, drop_short: bool = True) -> DataFrame:
+    """Replace ``text`` by cleaned ``content`` and drop pages that are too short, unless told to keep them.
 
     The length test comes before any costly derivation. It is an explode of a list of one or no text: a
     plain filter would be pushed below the column and evaluate the cleaning chain once more.
     """
     content = advanced_clean_text(clean_text(F.col("text")), F.col("lang"), stop_words)
+    if not drop_short:
+        return pages.select(*[c for c in pages.columns if c != "text"], content.alias("content"))
     kept = F.filter(F.array(content), lambda c: long_enough(c))
     return pages.select(*[c for c in pages.columns if c != "text"], F.explode(kept).alias("content"))
 

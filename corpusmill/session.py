@@ -32,6 +32,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """``df`` written once to the shared folder as a table bucketed and sorted by ``keys``.
+
+    Joins on ``keys`` then leave this side where it lies. The rows are dealt by them before they are written, one file a bucket.
+    """
+    spark = df.sparkSession
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = new_path(spark, name)
+    table = f"{name}_{path.rsplit('-', 1)[-1]}"
+    dealt = df.repartition(n, *keys)
+    dealt.write.bucketBy(n, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition by ``keys`` only when the input has fewer partitions than there are task slots.
 

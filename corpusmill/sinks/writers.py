@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,9 +123,53 @@ def append_blobs(records: DataFrame, path: str) -> None:
     blob_rows(records).write.mode("append").parquet(path)
 
 
+_POINTER = "current.txt"
+
+
 def write_progress(snapshot: DataFrame, path: str) -> None:
-    """Replace the snapshot at ``path``; it is one row."""
-    snapshot.coalesce(1).write.mode("overwrite").options(**KEEP_NULLS).json(path)
+    """Replace the snapshot at ``path``; it is one row.
+
+    The row goes to a new version folder, and then a pointer file that names it is renamed over the old one, in one step of the file
+    system. A write that fails, or a reader in between, leaves or finds the snapshot before it. The version before the current
+    one stays for readers that have just opened it; older ones are removed.
+    """
+    spark = snapshot.sparkSession
+    version = f"version-{uuid.uuid4().hex}"
+    snapshot.coalesce(1).write.options(**KEEP_NULLS).json(f"{path}/{version}")
+    before = current_version(spark, path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    files = hadoop.Path(path).getFileSystem(conf)
+    fresh, pointer = hadoop.Path(f"{path}/_{version}.txt"), hadoop.Path(f"{path}/{_POINTER}")
+    out = files.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    over = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(files.makeQualified(fresh).toUri(), conf).rename(files.makeQualified(fresh), files.makeQualified(pointer), over)
+    for status in files.listStatus(hadoop.Path(path)):
+        name = status.getPath().getName()
+        if name.startswith("version-") and name not in (version, before):
+            files.delete(status.getPath(), True)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of the version folder that the pointer of ``path`` names; None before the first snapshot."""
+    rows = spark.read.text(f"{path}/{_POINTER}").head(1) if _exists(spark, f"{path}/{_POINTER}") else []
+    return rows[0][0] if rows else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_progress(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The current snapshot of :func:`write_progress`."""
+    version = current_version(spark, path)
+    if version is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{path}/{version}")
 
 
 def export_pages(pages: DataFrame, path: str, fmt: str = "json") -> list[str]:

@@ -13,63 +13,75 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusmill.operators.categories import work_grid
-from corpusmill.operators.quality import save_reasons
+from corpusmill.operators.quality import long_enough, save_reasons
 from corpusmill.operators.stats import progress
 from corpusmill.operators.summaries import summarize
 from corpusmill.plans.records import clean_pages, derive_records
 from corpusmill.sinks.writers import write_progress
 
 
+AVAILABLE = {"availableNow": True}
+
+
 def run_available(
-    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", schema: str | None = None
+    stream: DataFrame, path: str, checkpoint: str, mode: str = "append", schema: str | None = None, trigger: dict | None = None
 ) -> DataFrame:
-    """Process everything available into parquet files and return the written table."""
+    """Process everything available into parquet files and return the written table; ``trigger`` as in :func:`run_batches`."""
     query = (
         stream.writeStream.format("parquet").outputMode(mode)
         .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or AVAILABLE)).start()
     )
-    query.awaitTermination()
+    _finished(query, trigger)
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
 def run_batches(
-    stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append"
+    stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None], mode: str = "append", trigger: dict | None = None
 ) -> StreamingQuery:
+    """Call ``write`` for every micro-batch: of what is available, or with another ``trigger`` (the arguments of Spark's
+    ``trigger``, such as ``{"processingTime": "1 minute"}``) for as long as the returned query is not stopped."""
     query = (
         stream.writeStream.foreachBatch(write).outputMode(mode)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or AVAILABLE)).start()
     )
-    query.awaitTermination()
+    _finished(query, trigger)
     return query
 
 
+def _finished(query: StreamingQuery, trigger: dict | None) -> None:
+    """Wait for queries that end by themselves; others run on."""
+    if trigger is None or {"availableNow", "once"} & trigger.keys():
+        query.awaitTermination()
+
+
 def record_stream(
-    pages: DataFrame, path: str, checkpoint: str, stop_words: dict[str, Iterable[str]], idf: np.ndarray
+    pages: DataFrame, path: str, checkpoint: str, stop_words: dict[str, Iterable[str]], idf: np.ndarray, trigger: dict | None = None
 ) -> StreamingQuery:
     """Page texts to ``records`` and ``rejects`` below ``path``.
 
     Each micro-batch writes its own directories by batch id, so a repeated batch replaces itself: no loss, no
-    duplicates. Records that break a save rule go to ``rejects`` with their reasons. ``idf`` is a fixed
-    term-weight vector fitted on an earlier batch.
+    duplicates. Records that break a save rule go to ``rejects`` with their reasons, pages that are too short with the reason ``content``,
+    so that every page is in one of the two. ``idf`` is a fixed term-weight vector fitted on an earlier batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = derive_records(summarize(clean_pages(batch), idf=idf), stop_words)
+        records = derive_records(summarize(clean_pages(batch, drop_short=False), idf=idf), stop_words)
         for name in ("content_embedding", "summary_embedding"):
             records = records.withColumn(name, F.lit(None).cast("array<float>"))
-        marked = records.withColumn("reasons", save_reasons()).persist()
+        short = F.array_compact(F.array(F.when(~F.coalesce(long_enough(F.col("content")), F.lit(False)), "content")))
+        marked = records.withColumn("reasons", F.concat(short, save_reasons())).persist()
         good, bad = marked.filter(F.size("reasons") == 0), marked.filter(F.size("reasons") > 0)
         good.drop("reasons").write.mode("overwrite").parquet(f"{path}/records/batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
         marked.unpersist()
 
-    return run_batches(pages, checkpoint, write)
+    return run_batches(pages, checkpoint, write, trigger=trigger)
 
 
-def progress_stream(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def progress_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Replace the progress snapshot at ``path`` after every micro-batch."""
-    return run_batches(progress(records), checkpoint, lambda batch, _: write_progress(batch, path), "complete")
+    return run_batches(progress(records), checkpoint, lambda batch, _: write_progress(batch, path), "complete", trigger)
 
 
 def error_rates(

@@ -55,7 +55,7 @@ def test_writers(spark, tmp_path):
     blobs = spark.read.parquet(f"{out}/blobs").collect()
     assert len(blobs) == 2 and json.loads(blobs[0]["data"])["metadata"]["length"] == 3
     W.write_progress(spark.createDataFrame([(5,)], "pages_processed long"), f"{out}/progress")
-    assert spark.read.json(f"{out}/progress").first()["pages_processed"] == 5
+    assert W.read_progress(spark, f"{out}/progress", "pages_processed long").first()["pages_processed"] == 5
     with pytest.raises(ValueError):
         W.write_dataset(df, out, "nope")
 
