@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -49,8 +50,36 @@ def release(owner: str | None = None) -> None:
     Tasks of operators that hold none call it too, so that memory does not pile up from one stage of a job to the next.
     """
     store = sys.__dict__.get("_corpusmill_values", {})
-    for other in [name for name in store if name != owner]:
+    others = [name for name in store if name != owner]
+    for other in others:
         del store[other]
+    if others:
+        trim()
+
+
+def task(owner: str | None = None):
+    """Decorator of a task's generator: values of other operators go before it, and unused memory goes back to the system after it."""
+
+    def wrap(run):
+        def tidy(batches):
+            release(owner)
+            try:
+                yield from run(batches)
+            finally:
+                trim()
+
+        return tidy
+
+    return wrap
+
+
+def trim() -> None:
+    """Give freed memory back to the system: worker processes live on, and the allocators would keep it for their next task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
 
 
 def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import per_process, release
+from corpusmill.llm.arrays import per_process, task
 from corpusmill.session import materialize
 
 WINDOW = 13
@@ -215,6 +215,7 @@ def _scan(block, text_col: str, window: int, again: bool):
     """Task body for one block; ``again``: rows carry the results of earlier blocks."""
     digest = hashlib.sha256(repr((window, block)).encode()).hexdigest()
 
+    @task("decontaminate")
     def run(batches):
         automaton = per_process("decontaminate", digest, lambda: SuffixAutomaton(block, window))
         table = word_table()
@@ -259,10 +260,10 @@ def cut_spans(docs: DataFrame, text_col: str = "text", min_span: int = WINDOW) -
     such spans keep their text byte for byte.
     """
 
+    @task()
     def run(batches):
         import re
 
-        release()
         word = re.compile(rb"[^ ]+")
         table = word_table()
         for batch in batches:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, release, spans
+from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, spans, task
 from corpusmill.session import materialize
 
 BITMAP_BITS = 26
@@ -136,8 +136,8 @@ def _language_numbers(column: pa.Array) -> np.ndarray:
 def _count_fingerprints(sizes: list[int], shared, bits: int):
     """Task: (fingerprint, occurrences) of each chunk's n-grams of the given sizes."""
 
+    @task()
     def run(batches):
-        release()
         seen = {size: np.frombuffer(data, np.uint8) for size, data in shared.value.items()}
         for batch in batches:
             language = _language_numbers(batch.column(0))
@@ -202,8 +202,8 @@ def _count_phrases(longest: int, shared, bits: int, names: list[str]):
                         phrases = phrases + " " + texts[number[here + k]]
                     yield labels[int(words.row[here[0]])], size, phrases, n[part], words.row[here]
 
+    @task()
     def run(batches):
-        release()
         for batch in batches:
             batch = batch.take(pc.sort_indices(batch.column(0)))
             language = _language_numbers(batch.column(1))

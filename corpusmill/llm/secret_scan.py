@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import per_process
+from corpusmill.llm.arrays import per_process, task
 
 KINDS = ["assign", "access", "hex", "novel"]
 NOVELTY = 0.62  # marginal bytes per character; random base64 costs 0.75, random hex 0.5, words well below
@@ -150,6 +150,7 @@ def find_secrets(
     kept = [f for f in docs.schema.fields if f.name != spans_col]
     schema = T.StructType([*kept, T.StructField(spans_col, SPANS)])
 
+    @task("secrets")
     def run(batches):
         scan = scanner(novelty, min_token).scan
         for batch in batches:
@@ -185,6 +186,7 @@ MASK = "[SECRET]"
 def redact_secrets(docs: DataFrame, text_col: str = "text", novelty: float = NOVELTY, min_token: int = MIN_TOKEN) -> DataFrame:
     """``docs`` with all secrets in its texts replaced; texts without secrets, null ones too, stay as they are."""
 
+    @task("secrets")
     def run(batches):
         scan = scanner(novelty, min_token).scan
         for batch in batches:

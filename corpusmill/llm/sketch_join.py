@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import NOT_SPACE, chunks, hash_spans, mix, release, shingles, spans
+from corpusmill.llm.arrays import NOT_SPACE, chunks, hash_spans, mix, release, shingles, spans, task
 from corpusmill.llm.components import connected
 from corpusmill.session import materialize
 
@@ -160,8 +160,8 @@ def set_table(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Data
     names = ["id_", "n", "class", "check", *(f"s{i}" for i in range(_LANES))]
     schema = T.StructType([T.StructField("id_", docs.schema[id_col].dataType), *(T.StructField(c, T.LongType()) for c in names[1:])])
 
+    @task()
     def run(batches):
-        release()
         for batch in batches:
             for first, raw, at in chunks(batch.column(1)):
                 n = len(at) - 1
@@ -215,8 +215,8 @@ def bucket_rows(docs: DataFrame, text_col: str, shingle: int, similarity, n_buck
             [pa.array(where, pa.int64()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], ["bucket", "kind", "data"]
         )
 
+    @task()
     def run(batches):
-        release()
         for batch in batches:
             keys, members, held = [], [], 0
             for _, raw, at in chunks(batch.column(0)):
@@ -352,8 +352,8 @@ def _held_sets(rows: DataFrame, shingle: int, row_bits: np.ndarray, class_bits:
     """
     shared = rows.sparkSession.sparkContext.broadcast((row_bits, class_bits))
 
+    @task()
     def run(batches):
-        release()
         row_bits, class_bits = shared.value
         for batch in batches:
             batch = batch.filter(pa.array(may_hold(row_bits, batch.column(0).to_numpy())))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, release, spans, texts_of
+from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, spans, task, texts_of
 from corpusmill.session import materialize
 
 BITS = 18
@@ -265,7 +265,6 @@ def _halves(ids: pa.Array) -> np.ndarray:
 
 
 def _runs(batches, ids: int, texts: int):
-    release()
     for batch in batches:
         for row, _, at in chunks(batch.column(texts), _CHUNK):
             part = batch.slice(row, len(at) - 1)
@@ -295,6 +294,7 @@ def _sample(docs: DataFrame, labels: DataFrame | None, id_col: str, text_col: st
 def _learned_lists(sample: DataFrame, terms: int) -> list[np.ndarray]:
     """For each half of the rows, the terms that mark toxic rows of the other half best: at most ``terms`` a list."""
 
+    @task()
     def run(batches):
         for part, texts, half in _runs(batches, 0, 1):
             human = np.asarray(part.column(2))
@@ -325,6 +325,7 @@ def _learned_lists(sample: DataFrame, terms: int) -> list[np.ndarray]:
 def _count_votes(docs: DataFrame, id_col: str, text_col: str, learned: list[np.ndarray]):
     """Number of documents of each vote pattern, all documents."""
 
+    @task()
     def run(batches):
         for _, texts, half in _runs(batches, 0, 1):
             pattern, n = np.unique(pack(texts.votes(learned, half)), return_counts=True)
@@ -341,6 +342,7 @@ def _training_rows(sample: DataFrame, learned: list[np.ndarray], model: LabelMod
     """A row per class that a sampled document may have: ``label``, ``weight`` (the posterior) and its sparse features."""
     from pyspark.ml.linalg import VectorUDT
 
+    @task()
     def run(batches):
         for part, texts, half in _runs(batches, 0, 1):
             votes = texts.votes(learned, half)
@@ -375,6 +377,7 @@ def train(
     learned = _learned_lists(sample, terms)
     patterns, counts = _count_votes(docs, id_col, text_col, learned)
 
+    @task()
     def voted(batches):
         for part, texts, half in _runs(batches, 0, 1):
             yield pa.RecordBatch.from_arrays([pa.array(pack(texts.votes(learned, half))), part.column(2)], ["pattern", "human"])
@@ -407,6 +410,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.learned))
     names = np.array(VOTERS[:-1], object)
 
+    @task()
     def run(batches):
         weights, bias, learned = shared.value
         for part, texts, half in _runs(batches, ids, texts_at):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import per_process
+from corpusmill.llm.arrays import per_process, task
 
 CACHE_WORDS = 400_000
 CACHE_PAIRS = 500_000
@@ -250,6 +250,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_c
     kept = [f for f in docs.schema.fields if f.name != ids_col and (with_text or f.name != text_col)]
     schema = T.StructType([*kept, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
+    @task("bpe")
     def run(batches):
         coder = encoder(vocabulary)
         for batch in batches:
@@ -272,6 +273,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str, ids_col: str = "ids", text_c
     kept = [f for f in encoded.schema.fields if f.name != text_col]
     schema = T.StructType([*kept, T.StructField(text_col, T.StringType())])
 
+    @task("bpe")
     def run(batches):
         coder = encoder(vocabulary)
         for batch in batches:
@@ -290,6 +292,7 @@ def token_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()),
     ])
 
+    @task("bpe")
     def run(batches):
         from hashlib import sha256
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.llm.arrays import NOT_NEWLINE, NOT_SPACE, byte_set, chunks, hash_spans, mix, release, shingles, spans
+from corpusmill.llm.arrays import NOT_NEWLINE, NOT_SPACE, byte_set, chunks, hash_spans, mix, shingles, spans, task
 from corpusmill.session import materialize
 
 BITS = 20
@@ -276,8 +276,8 @@ def vote_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         T.StructField("id", docs.schema[id_col].dataType), T.StructField("quality", T.LongType()), T.StructField("toxic", T.LongType())
     ])
 
+    @task()
     def run(batches):
-        release()
         for batch in batches:
             parts = [votes(text_features(raw, at)[0]) for _, raw, at in chunks(batch.column(1))]
             for (row, raw, at), (quality, toxic) in zip(chunks(batch.column(1)), parts):
@@ -349,8 +349,8 @@ def _sample(docs, labels, id_col, text_col, label_id, sample_rows, total) -> Dat
 def _fit_task(tables: dict):
     """Fits the scorer in one task; the sample is bounded, and only hashed features are held."""
 
+    @task()
     def run(batches):
-        release()
         lists: list[np.ndarray] = []
         soft: list[np.ndarray] = []
         for batch in batches:
@@ -383,8 +383,8 @@ def score_documents(docs: DataFrame, model: QualityModel, text_col: str = "text"
     ])
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
+    @task()
     def run(batches):
-        release()
         weights, bias = shared.value
         for batch in batches:
             index = batch.schema.get_field_index(text_col)
@@ -406,8 +406,8 @@ def drop_rejected(docs: DataFrame, model: QualityModel, text_col: str = "text",
     schema = docs.schema
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
+    @task()
     def run(batches):
-        release()
         weights, bias = shared.value
         for batch in batches:
             index = batch.schema.get_field_index(text_col)
