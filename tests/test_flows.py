@@ -192,4 +192,4 @@ def test_record_stream_is_idempotent(spark, tmp_path):
     S.record_stream(S.read_stream(spark, source, pages.schema, "parquet"), out, str(tmp_path / "ck2"), {}, idf)
     good = spark.read.parquet(f"{out}/records").count()
     bad = spark.read.parquet(f"{out}/rejects").collect()
-    assert good + len(bad) == 1 and all(r["reasons"] for r in bad)
+    assert good + len(bad) == 2 and all(r["reasons"] for r in bad) and "content" in {r["title"]: r["reasons"] for r in bad}["B"]
