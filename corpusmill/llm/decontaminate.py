@@ -203,12 +203,41 @@ def find_contamination(
         T.StructField("hit_items", T.ArrayType(T.StringType())),
     ]
     schema = T.StructType([*docs.schema.fields, *added])
-    out, done = docs, False
+    out, last, again = _all_but_last(docs, items, text_col, item_id, item_text, window, block_words, schema)
+    return out.mapInArrow(_scan(last, text_col, window, again), schema)
+
+
+def _all_but_last(docs, items, text_col, item_id, item_text, window, block_words, schema):
+    """Documents with the results of all blocks of items but the last, that block, and whether there were others."""
+    out, last, again = docs, None, False
     for block in item_blocks(items, item_id, item_text, block_words):
-        if done:
-            out = materialize(out, "scanned")
-        out, done = out.mapInArrow(_scan(block, text_col, window, done), schema), True
-    return out if done else docs.mapInArrow(_scan([], text_col, window, False), schema)
+        if last is not None:
+            out, again = materialize(out.mapInArrow(_scan(last, text_col, window, again), schema), "scanned"), True
+        last = block
+    return out, last or [], again
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+    window: int = WINDOW, block_words: int = BLOCK_WORDS, coverage: int = COVERAGE,
+) -> DataFrame:
+    """``docs`` without contaminated rows, spans of at least ``window`` words cut out of the others; the columns stay.
+
+    The rules are those of ``is_contaminated`` and ``cut_spans``, applied by the step that scans the last block. No column of ``docs`` may be
+    called like the results of ``find_contamination``.
+    """
+    added = "n_words long, hit_ranges array<array<long>>, hit_items array<string>"
+    schema = T.StructType([*docs.schema.fields, *T.StructType.fromDDL(added).fields])
+    out, last, again = _all_but_last(docs, items, text_col, item_id, item_text, window, block_words, schema)
+    scan, cut = _scan(last, text_col, window, again), _cut(text_col, window)
+
+    def run(batches):
+        for batch in scan(batches):
+            hits = [sum(end - start for start, end in marked) for marked in batch.column("hit_ranges").to_pylist()]
+            clean = [not (hit > 0 and coverage * hit >= n) for hit, n in zip(hits, batch.column("n_words").to_pylist())]
+            yield cut(batch.filter(pa.array(clean, pa.bool_()))).drop_columns(["n_words", "hit_ranges", "hit_items"])
+
+    return out.mapInArrow(run, docs.schema)
 
 
 def _scan(block, text_col: str, window: int, again: bool):
@@ -260,28 +289,38 @@ def cut_spans(docs: DataFrame, text_col: str = "text", min_span: int = WINDOW) -
     such spans keep their text byte for byte.
     """
 
+    cut = _cut(text_col, min_span)
+
     @task()
     def run(batches):
-        import re
-
-        word = re.compile(rb"[^ ]+")
-        table = word_table()
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
-            ranges = batch.column("hit_ranges").to_pylist()
-            for i, (text, marked) in enumerate(zip(texts, ranges)):
-                marked = [r for r in marked or () if r[1] - r[0] >= min_span]
-                if not marked:
-                    continue
-                raw = text.encode()
-                at = [m.span() for m in word.finditer(raw.translate(table))]
-                parts, last = [], 0
-                for start, end in marked:
-                    parts.append(raw[last : at[start][0]].rstrip())
-                    last = at[end - 1][1]
-                parts.append(raw[last:].lstrip())
-                texts[i] = b" ".join(p for p in parts if p).decode()
-            index = batch.schema.get_field_index(text_col)
-            yield batch.set_column(index, text_col, pa.array(texts, batch.schema.field(index).type))
+            yield cut(batch)
 
     return docs.mapInArrow(run, docs.schema)
+
+
+def _cut(text_col: str, min_span: int):
+    """Batch with its marked spans of ``min_span`` words or more cut out of the texts."""
+
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        import re
+
+        word, table = re.compile(rb"[^ ]+"), word_table()
+        texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+        ranges = batch.column("hit_ranges").to_pylist()
+        for i, (text, marked) in enumerate(zip(texts, ranges)):
+            marked = [r for r in marked or () if r[1] - r[0] >= min_span]
+            if not marked:
+                continue
+            raw = text.encode()
+            at = [m.span() for m in word.finditer(raw.translate(table))]
+            parts, last = [], 0
+            for start, end in marked:
+                parts.append(raw[last : at[start][0]].rstrip())
+                last = at[end - 1][1]
+            parts.append(raw[last:].lstrip())
+            texts[i] = b" ".join(p for p in parts if p).decode()
+        index = batch.schema.get_field_index(text_col)
+        return batch.set_column(index, text_col, pa.array(texts, batch.schema.field(index).type))
+
+    return cut

@@ -75,3 +75,22 @@ def test_cut(spark):
     docs = spark.createDataFrame([(1, f"Before, ({item})! after"), (2, "a short one b"), (3, None), (4, item)], "doc_id long, text string")
     out = {r["doc_id"]: r["text"] for r in dc.cut_spans(dc.find_contamination(docs, items)).collect()}
     assert out == {1: "Before, ( )! after", 2: "a short one b", 3: None, 4: ""}
+
+
+def test_one_step_drops_and_cuts_like_three(spark):
+    from pyspark.sql import functions as F
+
+    from corpusmill.llm import decontaminate as D
+
+    words = " ".join(f"item{i}" for i in range(20))
+    items = spark.createDataFrame([("a", words), ("b", " ".join(f"other{i}" for i in range(15))), ("c", "one two")], "item_id string, text string")
+    filler = " ".join(f"w{i}" for i in range(600))
+    rows = [(1, f"{filler} {words} {filler}"), (2, words), (3, filler), (4, None), (5, ""), (6, f"{filler} one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block_words in (100_000, 10):
+        found = D.find_contamination(docs, items, block_words=block_words)
+        clean = found.filter(~D.is_contaminated(D.n_hit(), F.col("n_words")))
+        want = {tuple(r) for r in D.cut_spans(clean).select(*docs.columns).collect()}
+        got = D.drop_contaminated(docs, items, block_words=block_words)
+        assert got.columns == docs.columns and {tuple(r) for r in got.collect()} == want
+        assert {r[0] for r in want} == {1, 3, 4, 5, 6} and f"{filler} {filler}" in {r[1] for r in want}
