@@ -28,9 +28,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     # Columns of the caller that have the names of the operator's results come back unchanged.
     aside = {c: f"__{c}" for c in ("n_words", "hit_ranges", "hit_items") if c in docs.columns}
-    found = decontaminate.find_contamination(docs.withColumnsRenamed(aside), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    clean = found.filter(~decontaminate.is_contaminated(decontaminate.n_hit(), F.col("n_words")))
-    cut = decontaminate.cut_spans(clean).drop("n_words", "hit_ranges", "hit_items")
+    cut = decontaminate.drop_contaminated(docs.withColumnsRenamed(aside), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _recounted(cut.withColumnsRenamed({b: a for a, b in aside.items()}), docs)
 
 
