@@ -5,7 +5,9 @@ Texts are lower-cased (A-Z), cut into pieces at punctuation and newlines, pieces
 tasks count fingerprints per chunk, one shuffle adds them up, and those above ``least`` are nominated. A longer n-gram
 is only fingerprinted where the words, and then the pairs, inside it are nominated, as a phrase is never more frequent than
 its parts; nominations travel as a bitmap of ``2^BITMAP_BITS`` bits (8 MB), one bit per fingerprint. A bit that two
-fingerprints share lets more n-grams through and never loses one, so the size of the vocabulary changes cost, not results.
+fingerprints share lets more n-grams through and never loses one, so the size of the vocabulary changes cost, not results. For the
+same reason n-grams are counted by the first ``COUNT_BITS`` bits of their fingerprints, which moves half the bytes: those that share
+them are counted together, and all of them are nominated if their sum is frequent.
 
 Fingerprints only nominate. A last pass looks at the text behind every nominated occurrence: in a chunk, words get exact
 numbers (the bytes of every word are compared with those of the first word of equal hash), phrases are sequences of such
@@ -30,6 +32,7 @@ from corpusmill.llm.arrays import byte_set, chunks, hash_spans, mix, spans, task
 from corpusmill.session import materialize
 
 BITMAP_BITS = 26
+COUNT_BITS = 32  # leading bits of a fingerprint by which n-grams are counted for nomination
 CHUNK = 4 << 20
 PART = 1 << 16  # words hashed or compared at once
 UNKNOWN = "und"
@@ -144,7 +147,8 @@ def _count_fingerprints(sizes: list[int], shared, bits: int):
             for row, raw, at in chunks(batch.column(1), CHUNK):
                 words = Words(raw, at, language[row:])
                 for size in sizes:
-                    found, n = np.unique(words.fingerprints(size)[allowed(words, size, seen, bits)], return_counts=True)
+                    found = words.fingerprints(size)[allowed(words, size, seen, bits)] >> np.uint64(64 - COUNT_BITS)
+                    found, n = np.unique(found, return_counts=True)
                     if len(found):
                         yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["fp", "n"])
 
@@ -156,7 +160,7 @@ def _nominate(docs: DataFrame, sizes: list[int], seen: dict[int, bytes], least:
     shared = docs.sparkSession.sparkContext.broadcast(seen)
     counted = docs.select("lang", "text").mapInArrow(_count_fingerprints(sizes, shared, bits), "fp long, n long")
     frequent = counted.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    spot = F.shiftrightunsigned("fp", 64 - bits) + 1
+    spot = F.shiftright("fp", COUNT_BITS - bits) + 1
     parts = frequent.groupBy(F.bitmap_bucket_number(spot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits"))
     out = bytearray(max((1 << bits) // 8, 4096))
     for part in parts.collect():  # at most 2^bits bits
