@@ -34,6 +34,7 @@ from corpusmill.session import materialize
 BITMAP_BITS = 26
 COUNT_BITS = 32  # leading bits of a fingerprint by which n-grams are counted for nomination
 CHUNK = 4 << 20
+SLICE = 1_024  # rows sorted by their ids at once
 PART = 1 << 16  # words hashed or compared at once
 UNKNOWN = "und"
 
@@ -208,7 +209,8 @@ def _count_phrases(longest: int, shared, bits: int, names: list[str]):
 
     @task()
     def run(batches):
-        for batch in batches:
+        # Sorting copies texts, so a batch is taken in slices.
+        for batch in (whole.slice(lo, SLICE) for whole in batches for lo in range(0, whole.num_rows, SLICE)):
             batch = batch.take(pc.sort_indices(batch.column(0)))
             language = _language_numbers(batch.column(1))
             for first_row, raw, at in chunks(batch.column(2), CHUNK):
