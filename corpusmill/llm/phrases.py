@@ -2,7 +2,8 @@
 
 Texts are lower-cased (A-Z), cut into pieces at punctuation and newlines, pieces into words. Every n-gram inside a piece gets a
 64-bit Rabin-Karp fingerprint from prefix polynomials over the hashes of a whole chunk of texts, its language mixed in. Map
-tasks count fingerprints per chunk, one shuffle adds them up, and those above ``least`` are nominated. A longer n-gram
+tasks count fingerprints per chunk, one shuffle brings packed counts together by leading bits, where they are added up in an array
+of fixed size (8 MB), and those that reach ``least`` are nominated. A longer n-gram
 is only fingerprinted where the words, and then the pairs, inside it are nominated, as a phrase is never more frequent than
 its parts; nominations travel as a bitmap of ``2^BITMAP_BITS`` bits (8 MB), one bit per fingerprint. A bit that two
 fingerprints share lets more n-grams through and never loses one, so the size of the vocabulary changes cost, not results. For the
@@ -33,6 +34,7 @@ from corpusmill.session import materialize
 
 BITMAP_BITS = 26
 COUNT_BITS = 32  # leading bits of a fingerprint by which n-grams are counted for nomination
+BUCKET_BITS = 12  # leading bits by which counts are shuffled; 8 and 16 of the other 20 bits travel in two columns
 CHUNK = 4 << 20
 SLICE = 1_024  # rows sorted by their ids at once
 PART = 1 << 16  # words hashed or compared at once
@@ -137,8 +139,8 @@ def _language_numbers(column: pa.Array) -> np.ndarray:
     return mix(hashed + np.uint64(1))[np.asarray(coded.indices)] if len(names) else np.zeros(0, np.uint64)
 
 
-def _count_fingerprints(sizes: list[int], shared, bits: int):
-    """Task: (fingerprint, occurrences) of each chunk's n-grams of the given sizes."""
+def _count_fingerprints(sizes: list[int], shared, bits: int, least: int):
+    """Task: fingerprints and occurrences of each chunk's n-grams of the given sizes, packed by bucket."""
 
     @task()
     def run(batches):
@@ -147,11 +149,80 @@ def _count_fingerprints(sizes: list[int], shared, bits: int):
             language = _language_numbers(batch.column(0))
             for row, raw, at in chunks(batch.column(1), CHUNK):
                 words = Words(raw, at, language[row:])
-                for size in sizes:
-                    found = words.fingerprints(size)[allowed(words, size, seen, bits)] >> np.uint64(64 - COUNT_BITS)
-                    found, n = np.unique(found, return_counts=True)
-                    if len(found):
-                        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["fp", "n"])
+                found = [words.fingerprints(size)[allowed(words, size, seen, bits)] >> np.uint64(64 - COUNT_BITS) for size in sizes]
+                found, n = np.unique(np.concatenate(found), return_counts=True)
+                if len(found):
+                    yield _pack(found, n, least)
+
+    return run
+
+
+def _count_type(least: int) -> np.dtype:
+    """Counts are clipped at ``least``, which changes no comparison of their sum with it."""
+    return np.dtype(np.uint8 if least < 1 << 8 else np.int64)
+
+
+def _binaries(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """One binary value for the numbers between each two edges."""
+    offsets = (edges * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _numbers(column: pa.Array, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of a column of binary values in a row, and the edges of the values."""
+    column = column.cast(pa.large_binary())
+    edges = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    values = np.frombuffer(column.buffers()[2], np.uint8)[edges[0] : edges[-1]].view(dtype)
+    return values, (edges - edges[0]) // dtype.itemsize
+
+
+def _pack(found: np.ndarray, n: np.ndarray, least: int) -> pa.RecordBatch:
+    """Sorted distinct fingerprints with their counts, one row per bucket: what follows the bucket's bits, in two columns."""
+    bucket = (found >> np.uint64(COUNT_BITS - BUCKET_BITS)).astype(np.int32)
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(found)]))
+    rest = found & np.uint64((1 << COUNT_BITS - BUCKET_BITS) - 1)
+    counts = np.minimum(n, least).astype(_count_type(least))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(bucket[edges[:-1]]), _binaries((rest >> np.uint64(16)).astype(np.uint8), edges),
+            _binaries((rest & np.uint64(0xFFFF)).astype(np.uint16), edges), _binaries(counts, edges),
+        ],
+        ["bucket", "high", "low", "n"],
+    )
+
+
+def _add_up(least: int):
+    """Task over rows in the order of their buckets: the fingerprints whose counts reach ``least``.
+
+    It holds the sums of one bucket, an array of fixed size, whatever the number of rows of the bucket.
+    """
+    width = COUNT_BITS - BUCKET_BITS
+
+    def frequent(bucket, sums):
+        found = (int(bucket) << width) + np.flatnonzero(sums >= least)
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64))], ["fp"])
+
+    @task()
+    def run(batches):
+        current, sums = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            buckets = np.asarray(batch.column(0))
+            high, edges = _numbers(batch.column(1), np.dtype(np.uint8))
+            low, _ = _numbers(batch.column(2), np.dtype(np.uint16))
+            n, _ = _numbers(batch.column(3), _count_type(least))
+            starts = np.concatenate(([0], np.flatnonzero(np.diff(buckets)) + 1, [len(buckets)]))
+            for lo, hi in zip(starts[:-1], starts[1:]):
+                if buckets[lo] != current:
+                    if sums is not None:
+                        yield from frequent(current, sums)
+                    current, sums = buckets[lo], np.zeros(1 << width, np.int64)
+                part = slice(edges[lo], edges[hi])
+                np.add.at(sums, (high[part].astype(np.int64) << 16) | low[part], n[part].astype(np.int64))
+        if sums is not None:
+            yield from frequent(current, sums)
 
     return run
 
@@ -159,8 +230,10 @@ def _count_fingerprints(sizes: list[int], shared, bits: int):
 def _nominate(docs: DataFrame, sizes: list[int], seen: dict[int, bytes], least: int, bits: int) -> bytes:
     """Bitmap of the fingerprints of ``sizes`` that occur at least ``least`` times; its size is fixed by ``bits``."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
-    counted = docs.select("lang", "text").mapInArrow(_count_fingerprints(sizes, shared, bits), "fp long, n long")
-    frequent = counted.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    packed = "bucket int, high binary, low binary, n binary"
+    counted = docs.select("lang", "text").mapInArrow(_count_fingerprints(sizes, shared, bits, least), packed)
+    by_bucket = counted.repartition("bucket").sortWithinPartitions("bucket")
+    frequent = by_bucket.mapInArrow(_add_up(least), "fp long")
     spot = F.shiftright("fp", COUNT_BITS - bits) + 1
     parts = frequent.groupBy(F.bitmap_bucket_number(spot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits"))
     out = bytearray(max((1 << bits) // 8, 4096))

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusmill.llm import phrases
@@ -89,6 +90,22 @@ def test_colliding_fingerprints_change_nothing(spark, monkeypatch):
     assert mined(spark, rows, least=12) == brute(rows, 12)
 
 
+@pytest.mark.parametrize("least", [1, 30, 255, 256, 70_000])
+def test_packed_counts_add_up(least):
+    rng = np.random.default_rng(least)
+    total, packed = Counter(), []
+    for _ in range(6):
+        found = np.unique(rng.integers(0, 1 << 32, 300).astype(np.uint64) >> np.uint64(24) << np.uint64(20) | np.uint64(3))
+        found = np.unique(np.concatenate((found, np.array([0, 65_536, (1 << 32) - 1], np.uint64))))
+        n = rng.integers(1, 2 * least + 2, len(found))
+        total.update(dict(zip(found.tolist(), n.tolist())))
+        packed.append(phrases._pack(found, n, least))
+    table = pa.Table.from_batches(packed).sort_by("bucket")
+    got = [fp for out in phrases._add_up(least)(iter(table.to_batches(max_chunksize=7))) for fp in out.column(0).to_pylist()]
+    assert got == sorted(fp for fp, n in total.items() if n >= least)
+    assert list(phrases._add_up(least)(iter([]))) == []
+
+
 def test_numbers_follow_the_bytes(monkeypatch):
     monkeypatch.setattr(phrases, "hash_spans", lambda raw, starts, ends, fold=True: np.zeros(len(starts), np.uint64))
     raw = np.frombuffer(b"aa bb aa b bb cc", np.uint8)
