@@ -10,7 +10,8 @@ _INTEGERS = {
     "rank": ["extract_keywords", "extract_keywords_single_words", "top_n_per_group"],
     "pos": [
         "generate_questions", "generate_answers", "qa_pairs",
-        "generate_questions_whole", "generate_answers_whole", "qa_pairs_whole", "extract_links", "extract_links_parsed",
+        "generate_questions_whole", "generate_answers_whole", "qa_pairs_whole",
+        "generate_questions_capped", "generate_answers_capped", "qa_pairs_capped", "extract_links", "extract_links_parsed",
         "category_page_links", "revision_history", "positional_zip", "split_sentences",
     ],
     "length": ["build_record_scalars", "stream_records"],

@@ -14,7 +14,15 @@ from catalog.base import (
     table,
     translate_sql,
 )
-from corpusmill.constants import DEFINITION_QUESTION, ENTITY_QUESTION, KEYWORD_QUESTIONS
+from corpusmill.constants import (
+    DEFINITION_QUESTION,
+    ENTITY_QUESTION,
+    KEYWORD_QUESTIONS,
+    MAX_ENTITY_QUESTIONS,
+    MAX_KEYWORD_QUESTIONS,
+    MAX_PARAGRAPHS,
+    MAX_TEXT_LENGTH,
+)
 from corpusmill.functions.common import explode_positions
 from corpusmill.functions.keywords import extract_keywords
 from corpusmill.functions.questions import generate_answers, generate_questions, zip_shorter
@@ -128,9 +136,12 @@ def with_questions(spark, sf, question_bounds=None, answer_bounds=None):
     ).withColumn("answers", generate_answers(F.col("content"), F.col("summary"), **(answer_bounds or {})))
 
 
-def with_whole_questions(spark, sf):
-    """The same with nothing cut, as the records are built."""
-    return with_questions(spark, sf, {"max_keywords": None, "max_entities": None}, {"max_length": None, "max_paragraphs": None})
+def with_capped_questions(spark, sf):
+    """The same with the first keywords, entities, characters and lines only."""
+    return with_questions(
+        spark, sf, {"max_keywords": MAX_KEYWORD_QUESTIONS, "max_entities": MAX_ENTITY_QUESTIONS},
+        {"max_length": MAX_TEXT_LENGTH, "max_paragraphs": MAX_PARAGRAPHS},
+    )
 
 
 def _question_rows() -> str:
@@ -170,46 +181,52 @@ _WHOLE_QUESTIONS = _QUESTIONS.replace("least(len(words), 5)", "least(len(words),
 _WHOLE_ANSWERS = _ANSWERS.replace("substr(content, 1, 10000)", "content").replace("least(len(lines), 3)", "len(lines)")
 
 
-@query("generate_questions", f"WITH {RECORDS_SQL}, {_QUESTIONS} SELECT * FROM questions")
-def questions(spark, sf):
-    rows = explode_positions(with_questions(spark, sf), F.col("questions"), "seq", value="q")
+def _question_texts(records):
+    rows = explode_positions(records, F.col("questions"), "seq", value="q")
     return rows.select("seq", "pos", F.col("q.text").alias("question"), "q.type", "q.difficulty")
 
 
-@query("generate_answers", f"WITH {RECORDS_SQL}, {_ANSWERS} SELECT * FROM answers")
-def answers(spark, sf):
-    rows = explode_positions(with_questions(spark, sf), F.col("answers"), "seq", value="a")
+def _answer_texts(records):
+    rows = explode_positions(records, F.col("answers"), "seq", value="a")
     return rows.select("seq", "pos", F.col("a.text").alias("answer"), "a.type", "a.length")
 
 
-@query(
-    "qa_pairs",
-    f"""WITH {RECORDS_SQL}, {_QUESTIONS}, {_ANSWERS} SELECT q.seq, q.pos, question, answer
-    FROM questions q JOIN answers a ON a.seq = q.seq AND a.pos = q.pos""",
-)
-def qa_pairs(spark, sf):
-    return W.qa_pairs(with_questions(spark, sf), "seq")
+def _pairs_sql(questions: str, answers: str) -> str:
+    return f"""WITH {RECORDS_SQL}, {questions}, {answers} SELECT q.seq, q.pos, question, answer
+    FROM questions q JOIN answers a ON a.seq = q.seq AND a.pos = q.pos"""
 
 
 @query("generate_questions_whole", f"WITH {RECORDS_SQL}, {_WHOLE_QUESTIONS} SELECT * FROM questions")
-def questions_whole(spark, sf):
-    rows = explode_positions(with_whole_questions(spark, sf), F.col("questions"), "seq", value="q")
-    return rows.select("seq", "pos", F.col("q.text").alias("question"), "q.type", "q.difficulty")
+@query("generate_questions", f"WITH {RECORDS_SQL}, {_WHOLE_QUESTIONS} SELECT * FROM questions")
+def questions(spark, sf):
+    return _question_texts(with_questions(spark, sf))
 
 
 @query("generate_answers_whole", f"WITH {RECORDS_SQL}, {_WHOLE_ANSWERS} SELECT * FROM answers")
-def answers_whole(spark, sf):
-    rows = explode_positions(with_whole_questions(spark, sf), F.col("answers"), "seq", value="a")
-    return rows.select("seq", "pos", F.col("a.text").alias("answer"), "a.type", "a.length")
+@query("generate_answers", f"WITH {RECORDS_SQL}, {_WHOLE_ANSWERS} SELECT * FROM answers")
+def answers(spark, sf):
+    return _answer_texts(with_questions(spark, sf))
 
 
-@query(
-    "qa_pairs_whole",
-    f"""WITH {RECORDS_SQL}, {_WHOLE_QUESTIONS}, {_WHOLE_ANSWERS} SELECT q.seq, q.pos, question, answer
-    FROM questions q JOIN answers a ON a.seq = q.seq AND a.pos = q.pos""",
-)
-def qa_pairs_whole(spark, sf):
-    return W.qa_pairs(with_whole_questions(spark, sf), "seq")
+@query("qa_pairs_whole", _pairs_sql(_WHOLE_QUESTIONS, _WHOLE_ANSWERS))
+@query("qa_pairs", _pairs_sql(_WHOLE_QUESTIONS, _WHOLE_ANSWERS))
+def qa_pairs(spark, sf):
+    return W.qa_pairs(with_questions(spark, sf), "seq")
+
+
+@query("generate_questions_capped", f"WITH {RECORDS_SQL}, {_QUESTIONS} SELECT * FROM questions")
+def questions_capped(spark, sf):
+    return _question_texts(with_capped_questions(spark, sf))
+
+
+@query("generate_answers_capped", f"WITH {RECORDS_SQL}, {_ANSWERS} SELECT * FROM answers")
+def answers_capped(spark, sf):
+    return _answer_texts(with_capped_questions(spark, sf))
+
+
+@query("qa_pairs_capped", _pairs_sql(_QUESTIONS, _ANSWERS))
+def qa_pairs_capped(spark, sf):
+    return W.qa_pairs(with_capped_questions(spark, sf), "seq")
 
 
 @query(

@@ -110,8 +110,8 @@ def sink_progress(spark, sf):
 
 @query(
     "training_bundle",
-    r"""WITH n AS (SELECT least(1 + 3 * least(len(string_split_regex(text, '\s+')), 5) + 1,
-        2 + least(3, len(list_filter(string_split(text, chr(10)), lambda p: trim(p) <> '')))) AS pairs,
+    r"""WITH n AS (SELECT least(1 + 3 * least(len(string_split_regex(text, '\s+')), 7) + 1,
+        2 + len(list_filter(string_split(text, chr(10)), lambda p: trim(p) <> ''))) AS pairs,
         least(len(string_split_regex(text, '\s+')), 7) AS words FROM documents)
     SELECT 'pairs' AS part, sum(pairs)::BIGINT AS n FROM n UNION ALL SELECT 'embeddings', count(*) FROM n
     UNION ALL SELECT 'triples', sum(words)::BIGINT FROM n""",

@@ -10,10 +10,6 @@ from corpusmill.constants import (
     ENTITY_QUESTION,
     ENTITY_QUESTION_TYPES,
     KEYWORD_QUESTIONS,
-    MAX_ENTITY_QUESTIONS,
-    MAX_KEYWORD_QUESTIONS,
-    MAX_PARAGRAPHS,
-    MAX_TEXT_LENGTH,
     QUESTION_PHRASES,
 )
 from corpusmill.functions.common import by_key
@@ -55,9 +51,9 @@ def _first(items: Column, bound: int | None) -> Column:
 
 def generate_questions(
     title: Column, lang: Column, keywords: Column, entities: Column | None = None,
-    max_keywords: int | None = MAX_KEYWORD_QUESTIONS, max_entities: int | None = MAX_ENTITY_QUESTIONS,
+    max_keywords: int | None = None, max_entities: int | None = None,
 ) -> Column:
-    """One definition question, three per keyword, one per suitable entity among the first ones; None takes all."""
+    """One definition question, three per keyword, one per suitable entity; bounds take the first keywords and entities only."""
     parts = [
         F.array(_question(DEFINITION_QUESTION, lang, title=title)),
         F.flatten(
@@ -80,9 +76,9 @@ def _answer(text: Column, kind: str, length: str) -> Column:
 
 
 def generate_answers(
-    content: Column, summary: Column, max_length: int | None = MAX_TEXT_LENGTH, max_paragraphs: int | None = MAX_PARAGRAPHS
+    content: Column, summary: Column, max_length: int | None = None, max_paragraphs: int | None = None
 ) -> Column:
-    """Summary, full text up to a length, then the first non-blank lines; None takes all of the text and all lines."""
+    """Summary, full text, then the non-blank lines; bounds take the first characters and lines only."""
     lines = F.filter(F.split(content, "\n"), lambda p: F.regexp_replace(p, r"(?U)\s+", "") != "")
     return F.concat(
         F.array(

@@ -190,10 +190,11 @@ def advanced_clean_text(
     text: Column,
     lang: Column,
     stop_words: dict[str, Iterable[str]] | None = None,
+    split: bool = False,
 ) -> Column:
     """Record text: wiki cleaning, accent fold for en/de, no citations, "see also" tail, tables or link sections.
 
-    With ``stop_words`` (language code to list) those words are dropped as well.
+    With ``stop_words`` (language code to list) those words are dropped as well. ``split`` gives the list of sentences.
     """
     text = clean_wiki_text(text)
     text = let(text, lambda t: F.when(lang.isin("en", "de"), fold_accents(t)).otherwise(t))
@@ -203,4 +204,4 @@ def advanced_clean_text(
     text = let(text, _cut_sections)
     if stop_words is not None:
         text = remove_stop_words(text, lang, stop_words)
-    return F.trim(text)
+    return split_sentences(text) if split else F.trim(text)

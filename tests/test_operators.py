@@ -226,6 +226,19 @@ def test_numbered_and_manifest(spark):
     assert rows(ordering.numbered(df, "seq", "n", bucket_bits=2), "seq", "n") == [(7, 0), (200000, 1), (300000, 2), (300001, 3)]
 
 
+def test_positions_of_a_sparse_order(spark):
+    df = spark.range(500).select(F.xxhash64("id").alias("h"), F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 3).alias("k"))
+    order = sorted(r["h"] for r in df.collect())
+    assert rows(ordering.numbered_by_range(df, "h", "n"), "h", "n") == [(h, i) for i, h in enumerate(order)]
+    got = ordering.numbered_by_range(df, "h", "n", ["k"])
+    assert got.columns == ["h", "k", "n"]
+    groups = {}
+    for r in sorted(df.collect()):
+        groups.setdefault(r["k"], []).append(r["h"])
+    expected = {(k, h, i) for k, hashes in groups.items() for i, h in enumerate(hashes)}
+    assert {(r["k"], r["h"], r["n"]) for r in got.collect()} == expected
+
+
 def test_entities(spark):
     docs = spark.createDataFrame([(0, "Ana lives in New York, near York.")], "seq int, content string")
     names = spark.createDataFrame([("New York", "LOC"), ("York", "LOC"), ("Ana", "PERSON")], "name string, type string")

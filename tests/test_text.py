@@ -1,3 +1,4 @@
+from corpusmill.constants import MAX_ENTITY_QUESTIONS, MAX_KEYWORD_QUESTIONS, MAX_PARAGRAPHS, MAX_TEXT_LENGTH
 from corpusmill.functions import dates, keywords, links, questions, relations
 from corpusmill.functions import text as X
 from corpusmill.functions.topics import classify_topic
@@ -36,6 +37,15 @@ def test_advanced_clean(one):
     assert one(lambda t: X.advanced_clean_text(t, F.lit("es")), t="año VÉASE TAMBIÉN otro") == "año"
 
 
+def test_advanced_clean_split(one):
+    def parts(stops=None):
+        return lambda t: X.advanced_clean_text(t, F.lit("en"), stops, split=True)
+
+    assert one(parts(), t=" [[One]] été [3]. Two!?\n== References ==\nno. no") == ["One ete", "Two"]
+    assert one(parts({"en": ["the"]}), t="The cat. A the dog") == ["cat", "A dog"]
+    assert one(parts(), t="") == [] and one(parts(), t=None) is None
+
+
 def test_stop_words(one):
     stops = {"en": ["the", "and"]}
     assert one(lambda t: X.remove_stop_words(t, F.lit("en"), stops), t="the quick and brown fox") == "quick brown fox"
@@ -109,24 +119,25 @@ def test_questions(one, spark):
     kws = F.array(*[F.lit(f"k{i}") for i in range(7)])
     ents = F.array(F.struct(F.lit("Ann").alias("text"), F.lit("PERSON").alias("type")),
                    F.struct(F.lit("1999").alias("text"), F.lit("DATE").alias("type")))
-    qs = spark.range(1).select(questions.generate_questions(F.lit("T"), F.lit("en"), kws, ents)).first()[0]
+    capped = questions.generate_questions(F.lit("T"), F.lit("en"), kws, ents, MAX_KEYWORD_QUESTIONS, MAX_ENTITY_QUESTIONS)
+    qs = spark.range(1).select(capped).first()[0]
     assert len(qs) == 1 + 3 * 5 + 1
     assert qs[0]["text"] == "What is T?" and qs[-1]["text"] == "What is the significance of Ann in T?"
 
 
 def test_answers(one):
-    out = one(questions.generate_answers, c="p1\n \np2\np3\np4" + "x" * 10100, s="sum")
+    out = one(lambda c, s: questions.generate_answers(c, s, MAX_TEXT_LENGTH, MAX_PARAGRAPHS), c="p1\n \np2\np3\np4" + "x" * 10100, s="sum")
     assert [a["type"] for a in out] == ["summary", "detailed", "paragraph", "paragraph", "paragraph"]
     assert len(out[1]["text"]) == 10000
 
 
 def test_questions_and_answers_whole(spark, one):
     text = "p1\n \np2\np3\np4" + "x" * 10100
-    out = one(lambda c, s: questions.generate_answers(c, s, max_length=None, max_paragraphs=None), c=text, s="sum")
+    out = one(questions.generate_answers, c=text, s="sum")
     assert [a["text"] for a in out] == ["sum", text, "p1", "p2", "p3", "p4" + "x" * 10100]
     kws = F.array(*[F.lit(f"k{i}") for i in range(7)])
     ents = F.array(*[F.struct(F.lit(f"e{i}").alias("text"), F.lit("PERSON").alias("type")) for i in range(6)])
-    whole = questions.generate_questions(F.lit("T"), F.lit("en"), kws, ents, max_keywords=None, max_entities=None)
+    whole = questions.generate_questions(F.lit("T"), F.lit("en"), kws, ents)
     assert len(spark.range(1).select(whole).first()[0]) == 1 + 3 * 7 + 6
 
 
