@@ -1,6 +1,6 @@
 """Queries over the driver tables, one or more per operator, each with its SQL where SQL can say it."""
 
-from catalog import corpus, duplicates, html_jobs, joins, ranks, records, sinks_sources, stats_sets, streams, text  # noqa: F401
+from catalog import corpus, duplicates, html_jobs, joins, open_fields, ranks, records, sinks_sources, stats_sets, streams, text  # noqa: F401
 from catalog.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

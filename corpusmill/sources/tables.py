@@ -11,19 +11,27 @@ from corpusmill.functions.links import parse_page_url
 from corpusmill.schema import ANSWER, JOB_DDL, MEMBERSHIP_DDL, QUESTION, RECORD_DDL
 
 
+# Questions and answers as they may stand in files: structs or plain strings.
+RAW_RECORD_DDL = RECORD_DDL.replace(f"array<{QUESTION}>", "array<string>").replace(f"array<{ANSWER}>", "array<string>")
+
+
 def read_records(spark: SparkSession, path: str, lines: bool = False, missing_ok: bool = False) -> DataFrame:
     """Records from JSON: one array per file, or one record per line. Large sets should use lines or parquet,
     which can be split. A missing path gives an empty table when ``missing_ok``.
 
     Questions and answers given as plain strings become structs with only ``text``.
     """
-    schema = RECORD_DDL.replace(f"array<{QUESTION}>", "array<string>").replace(f"array<{ANSWER}>", "array<string>")
     try:
-        raw = spark.read.option("multiLine", not lines).schema(schema).json(path)
+        raw = spark.read.option("multiLine", not lines).schema(RAW_RECORD_DDL).json(path)
     except AnalysisException as error:
         if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], RECORD_DDL)
         raise
+    return record_lists(raw)
+
+
+def record_lists(raw: DataFrame) -> DataFrame:
+    """Questions and answers of raw records as structs."""
     return raw.withColumns(
         {
             "questions": F.transform("questions", lambda q: _struct_or_text(q, QUESTION)),
