@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from corpusmill.operators import terms
 from corpusmill.operators.similarity import deduplicate_by_embedding
 from corpusmill.operators.terms import sparse_cosine_pairs, sparse_graph, term_vectors, terms_removed
 
@@ -96,3 +97,28 @@ def test_texts_without_a_near_copy_survive(spark):
     records = docs.join(term_vectors(docs).withColumnsRenamed({"terms": "content_embedding_terms", "weights": "content_embedding"}), "seq")
     kept, removed = deduplicate_by_embedding(records)
     assert [r["seq"] for r in removed.collect()] == [30] and kept.count() == 59
+
+
+def test_pairs_out_of_reach_are_not_compared(spark, monkeypatch):
+    """Sixty vectors list the same term; what follows it cannot bring any two of them to 0.9."""
+    common = [(f"c{i}", math.sqrt(0.76 / 5)) for i in range(5)]
+    rows = [(i, [f"u{i}", "s", *(t for t, _ in common)], [math.sqrt(0.12), math.sqrt(0.12), *(w for _, w in common)]) for i in range(60)]
+    rows += [(100 + i, [t for t, _ in common] + [f"v{i}"], [w for _, w in common] + [0.9]) for i in range(5)]
+    compared = []
+    measured = terms._measured
+
+    def counted(pairs, *others):
+        compared.append(pairs.count())
+        return measured(pairs, *others)
+
+    monkeypatch.setattr(terms, "_measured", counted)
+    vectors = spark.createDataFrame(rows, "seq bigint, terms array<string>, weights array<double>")
+    assert sparse_cosine_pairs(vectors, 0.9).count() == 0
+    assert sum(compared) < 60
+
+
+def test_equal_vectors_are_folded_and_written_out(spark):
+    rows = [(i, ["a", "b"], [1.0, 1.0]) for i in range(6)] + [(9, ["a", "b"], [1.0, 1.1])]
+    found = sparse_cosine_pairs(spark.createDataFrame(rows, "seq bigint, terms array<string>, weights array<double>"), 0.9).collect()
+    assert {(r["lo"], r["hi"]) for r in found} == {(i, j) for i in range(6) for j in (*range(i + 1, 6), 9)}
+    assert len(found) == 21
