@@ -153,3 +153,23 @@ def test_no_vectors(spark):
     df = spark.createDataFrame([(0, None)], "seq bigint, content_embedding array<float>")
     kept, removed = S.deduplicate_by_embedding(df)
     assert seqs(kept) == {0} and seqs(removed) == set()
+
+
+def test_block_pairs_are_sent_in_parts(monkeypatch):
+    """Rows routed to many blocks and pairs of large blocks leave a task in bounded batches."""
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusmill.operators import similarity as S
+
+    n, blocks = 300, 400
+    vectors = pa.array(np.ones((n, 2)).tolist(), pa.list_(pa.float32()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(n)), vectors, pa.array(range(n)), pa.array([1] * n)], ["seq", "embedding", "spot", "unit"]
+    )
+    sent = list(S._route(np.ones((1, 2)) / 2**0.5, {1: 0.1}, {1: blocks}, 0.5)(iter([batch])))
+    assert sum(b.num_rows for b in sent) == n * blocks and max(b.num_rows for b in sent) <= S.ROUTED_ROWS
+    monkeypatch.setattr(S, "PAIR_ROWS", 1000)
+    block = pa.RecordBatch.from_arrays([pa.array([0] * n), pa.array(range(n)), vectors], ["block", "seq", "embedding"])
+    found = list(S._compare(0.9)((pa.scalar(0), pa.scalar(0)), iter([block])))
+    assert sum(b.num_rows for b in found) == n * (n - 1) // 2 and max(b.num_rows for b in found) <= 1000
