@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.constants import CONTENT_ID, WIKI_MARKER
 from corpusmill.functions import page_html as H
+from corpusmill.functions.common import SLICE_ROWS
 from corpusmill.functions.links import extract_links, link_title
 from corpusmill.operators.categories import category_page_title
 
@@ -44,7 +45,8 @@ def parse_pages(
     }
 
     def run(batches):
-        for batch in batches:
+        # A few pages at a time: what is found takes several times the bytes of a batch.
+        for batch in (b.slice(i, SLICE_ROWS) for b in batches for i in range(0, b.num_rows, SLICE_ROWS)):
             texts = batch.column("html").to_pylist()
             bases = batch.column("base_url").to_pylist() if has_base else [base] * len(texts)
             found: dict[str, list] = {name: [] for name in parts}
