@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.session import materialize
+
 _WORD = r"[\p{L}\p{N}_]+"
 
 
@@ -20,23 +22,22 @@ def find_entities(docs: DataFrame, gazetteer: DataFrame, max_words: int | None =
     names = gazetteer.groupBy("name").agg(F.min("type").alias("type")).withColumn("words", words("name")).filter(F.size("words") > 0)
     if max_words is not None:
         names = names.filter(F.size("words") <= max_words)
-    lengths = sorted(names.agg(F.collect_set(F.size("words"))).first()[0])
-    lengths = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
-    grams = F.flatten(
-        F.transform(
-            "toks",
-            lambda t, i: F.transform(
-                F.filter(lengths, lambda n: i + n <= F.size("toks")),
-                lambda n: F.struct(
-                    i.alias("pos"), F.array_join(F.slice("toks", i + 1, n), " ").alias("run")
-                ),
-            ),
-        )
-    )
+    # Written once: its measured size, known before the texts are read, decides whether their words are shuffled at all.
+    names = materialize(names.select(F.array_join("words", " ").alias("run"), F.col("name").alias("text"), "type", F.size("words").alias("n")), "names")
+    lengths = sorted(names.agg(F.collect_set("n")).first()[0])
+
+    def runs(n: int) -> Column:
+        """All runs of ``n`` words with their positions."""
+        if n == 1:
+            return F.transform("toks", lambda t, i: F.struct(i.alias("pos"), t.alias("run")))
+        starts = F.when(F.size("toks") >= n, F.sequence(F.lit(0), F.size("toks") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(i.alias("pos"), F.array_join(F.slice("toks", i + 1, n), " ").alias("run")))
+
+    none = F.array().cast("array<struct<pos:int,run:string>>")
+    grams = F.concat(none, *[runs(n) for n in lengths])
     found = (
         docs.select("seq", words("content").alias("toks"))
         .select("seq", F.explode_outer(grams).alias("g"))  # outer: the grams are computed once
         .select("seq", "g.pos", "g.run")
     )
-    names = names.select(F.array_join("words", " ").alias("run"), F.col("name").alias("text"), "type")
     return found.join(names, "run").select("seq", "pos", "text", "type")

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.common import SLICE_ROWS, in_slices
 from corpusmill.operators import pages as P
+from corpusmill.operators.entities import find_entities
+from corpusmill.operators.quality import enrich_records
 
 
 def test_python_objects_of_a_few_rows_only():
@@ -31,3 +33,23 @@ def test_parsed_pages_are_sent_in_parts(spark):
     found = list(P.parse_pages(Pages(), ("images",))(iter([batch])))
     assert [i[0]["image_url"] for b in found for i in b.column("images").to_pylist()] == [str(i) for i in range(1000)]
     assert max(b.num_rows for b in found) <= SLICE_ROWS
+
+
+def test_words_are_not_shuffled_for_a_small_gazetteer(spark, capsys):
+    docs = spark.createDataFrame([(1, "a New York b"), (2, ""), (3, None), (4, "York New")], "seq bigint, content string")
+    many = spark.range(5000).select(F.concat(F.lit("name "), F.col("id") % 3).alias("name"), F.lit("T").alias("type"))
+    names = many.unionByName(spark.createDataFrame([("New York", "CITY"), ("York", "CITY")], "name string, type string")).distinct()
+    found = find_entities(docs, names)
+    assert {tuple(r) for r in found.collect()} == {(1, 1, "New York", "CITY"), (1, 2, "York", "CITY"), (4, 0, "York", "CITY")}
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(run" not in plan
+
+
+def test_texts_are_cleaned_once(spark, capsys):
+    records = spark.createDataFrame([(1, "<p>see  York</p>"), (2, None)], "seq bigint, content string")
+    names = spark.createDataFrame([("York", "CITY")], "name string, type string")
+    out = enrich_records(records, names)
+    assert {r["seq"]: (r["clean_content"], len(r["entities"])) for r in out.collect()} == {1: ("see York", 1), 2: (None, 0)}
+    out.explain()
+    assert "ArrowEvalPython" not in capsys.readouterr().out
