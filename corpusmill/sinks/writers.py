@@ -164,6 +164,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of its own making."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_progress(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The current snapshot of :func:`write_progress`."""
     version = current_version(spark, path)

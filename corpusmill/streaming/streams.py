@@ -17,7 +17,7 @@ from corpusmill.operators.quality import long_enough, save_reasons
 from corpusmill.operators.stats import progress
 from corpusmill.operators.summaries import summarize
 from corpusmill.plans.records import clean_pages, derive_records
-from corpusmill.sinks.writers import write_progress
+from corpusmill.sinks.writers import remove, write_progress
 
 
 AVAILABLE = {"availableNow": True}
@@ -70,11 +70,15 @@ def record_stream(
         for name in ("content_embedding", "summary_embedding"):
             records = records.withColumn(name, F.lit(None).cast("array<float>"))
         short = F.array_compact(F.array(F.when(~F.coalesce(long_enough(F.col("content")), F.lit(False)), "content")))
-        marked = records.withColumn("reasons", F.concat(short, save_reasons())).persist()
+        # Staged as a table: its splits are bounded, where a cached partition grows with the texts of a whole input split.
+        marked = records.withColumn("reasons", F.concat(short, save_reasons()))
+        staged = f"{path}/_staged-{batch_id}"
+        marked.write.mode("overwrite").parquet(staged)
+        marked = batch.sparkSession.read.schema(marked.schema).parquet(staged)
         good, bad = marked.filter(F.size("reasons") == 0), marked.filter(F.size("reasons") > 0)
         good.drop("reasons").write.mode("overwrite").parquet(f"{path}/records/batch={batch_id}")
         bad.write.mode("overwrite").parquet(f"{path}/rejects/batch={batch_id}")
-        marked.unpersist()
+        remove(batch.sparkSession, staged)
 
     return run_batches(pages, checkpoint, write, trigger=trigger)
 

@@ -53,3 +53,20 @@ def test_texts_are_cleaned_once(spark, capsys):
     assert {r["seq"]: (r["clean_content"], len(r["entities"])) for r in out.collect()} == {1: ("see York", 1), 2: (None, 0)}
     out.explain()
     assert "ArrowEvalPython" not in capsys.readouterr().out
+
+
+def test_micro_batches_are_not_cached(spark, tmp_path, monkeypatch):
+    import numpy as np
+
+    from corpusmill.streaming.streams import read_stream, record_stream
+
+    def cached(self, *a):
+        raise AssertionError("cached")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", cached)
+    ddl = "seq bigint, title string, text string, lang string, category string, created_at timestamp"
+    spark.createDataFrame([(1, "t", "word. " * 100, "en", "c", None), (2, "u", "short", "en", "c", None)], ddl).write.parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    record_stream(read_stream(spark, str(tmp_path / "in"), ddl, "parquet"), out, str(tmp_path / "state"), {"en": []}, np.zeros(16))
+    assert spark.read.parquet(f"{out}/rejects").count() == 2
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["records", "rejects"]
