@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.constants import MIN_TEXT_LENGTH, SUMMARY_SENTENCES
-from corpusmill.functions.keywords import top_phrases
+from corpusmill.functions.common import explode_positions
 from corpusmill.session import materialize
 
 _WORD = r"[\p{L}\p{N}]+"
@@ -82,12 +82,13 @@ def summarize_exact(docs: DataFrame, content: str = "content", key: str = "seq",
     distinct terms of each sentence. Neither the driver nor a task holds a vocabulary. Texts move once, to their chosen sentences.
     """
     text = F.col(content)
-    spoken = docs.select(key, F.posexplode(_parts(text)).alias("s", "sentence")).select(key, "s", _words(F.col("sentence")).alias("words"))
-    counted = spoken.filter(F.size("words") > 0).select(key, "s", F.size("words").alias("n_words"), F.explode(top_phrases(F.col("words"), None)).alias("p"))
-    postings = materialize(counted.select(key, "s", "n_words", F.col("p.phrase").alias("term"), F.col("p.count").alias("n")), "sentence_terms")
+    # Outer explodes compute the lists once. A word that comes twice in a sentence has two rows, so nothing has to be counted in the row.
+    spoken = explode_positions(docs, _parts(text), key, pos="s", value="sentence").select(key, "s", _words(F.col("sentence")).alias("words"))
+    said = spoken.select(key, "s", F.size("words").alias("n_words"), F.explode_outer("words").alias("term")).filter(F.col("term").isNotNull())
+    postings = materialize(said, "sentence_terms")
     frequent = postings.groupBy("term").agg(F.count_distinct(key).alias("df")).filter("df > 1")
     total = F.lit(float(docs.count()))
-    weight = F.col("n") * F.log((total + 1) / (F.coalesce("df", F.lit(1)) + 1))
+    weight = F.log((total + 1) / (F.coalesce("df", F.lit(1)) + 1))
     scored = postings.join(frequent, "term", "left").groupBy(key, "s").agg(F.round(F.sum(weight) / F.first("n_words"), 9).alias("score"))
     order = Window.partitionBy(key).orderBy(F.desc("score"), "s")
     best = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sentences)

@@ -7,6 +7,7 @@ from corpusmill.functions.common import SLICE_ROWS, in_slices
 from corpusmill.operators import pages as P
 from corpusmill.operators.entities import find_entities
 from corpusmill.operators.quality import enrich_records
+from corpusmill.operators.sentence_ranks import summarize_exact
 
 
 def test_python_objects_of_a_few_rows_only():
@@ -70,3 +71,15 @@ def test_micro_batches_are_not_cached(spark, tmp_path, monkeypatch):
     record_stream(read_stream(spark, str(tmp_path / "in"), ddl, "parquet"), out, str(tmp_path / "state"), {"en": []}, np.zeros(16))
     assert spark.read.parquet(f"{out}/rejects").count() == 2
     assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["records", "rejects"]
+
+
+def test_exact_summaries_need_no_python(spark, monkeypatch):
+    from corpusmill.operators import sentence_ranks
+
+    plans = []
+    kept = sentence_ranks.materialize
+    monkeypatch.setattr(sentence_ranks, "materialize", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or kept(df, name))
+    docs = spark.createDataFrame([(1, "a a b. c d! e"), (2, "a b. a c"), (3, "")], "seq bigint, content string")
+    out = {r["seq"]: r["summary"] for r in summarize_exact(docs, sentences=1).collect()}
+    assert out == {1: "e", 2: "a b", 3: ""}
+    assert plans and "EvalPython" not in plans[0]
