@@ -83,3 +83,21 @@ def test_exact_summaries_need_no_python(spark, monkeypatch):
     out = {r["seq"]: r["summary"] for r in summarize_exact(docs, sentences=1).collect()}
     assert out == {1: "e", 2: "a b", 3: ""}
     assert plans and "EvalPython" not in plans[0]
+
+
+def test_a_bundle_keeps_only_what_it_writes(spark, tmp_path, monkeypatch):
+    from corpusmill.plans import records
+
+    kept = []
+    persist = type(spark.range(1)).persist
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: kept.append(self.columns) or persist(self, *a))
+    path = str(tmp_path / "set.json")
+    row = spark.range(1).select(
+        F.lit("i").alias("id"), F.lit("t").alias("title"), F.lit("long text").alias("content"), F.array(F.lit("k")).alias("keywords"),
+        F.array(F.struct(F.lit("q").alias("text"))).alias("questions"), F.array(F.struct(F.lit("a").alias("text"))).alias("answers"),
+    )
+    row.write.json(path)
+    out = records.training_bundle(spark, path, lines=True)
+    assert spark.read.json(out["pairs"]).select("question", "answer").collect() == [("q", "a")]
+    assert spark.read.json(out["triples"]).count() == 1
+    assert kept and all("content" not in columns for columns in kept)
