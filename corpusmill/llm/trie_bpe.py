@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import gc
 import json
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -241,6 +242,18 @@ class TrieEncoder:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+@contextmanager
+def uncollected():
+    """No cycle searches: they would walk hundreds of thousands of kept words again and again, and encoding makes no cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def encoder(path: str) -> TrieEncoder:
     return per_process("bpe", ("trie encoder", path), lambda: TrieEncoder(path))
 
@@ -257,7 +270,8 @@ def encode_texts(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_c
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.large_binary())
             # A few texts at a time: ids take several times the bytes of a text.
             for lo in range(0, len(texts), 256):
-                ids = coder.encode(texts.slice(lo, 256).to_pylist())
+                with uncollected():
+                    ids = coder.encode(texts.slice(lo, 256).to_pylist())
                 at = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
                 flat = np.concatenate([np.asarray(x, np.int32) for x in ids])
                 part = batch.slice(lo, 256)
@@ -302,10 +316,11 @@ def token_digests(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text
             texts = batch.column(batch.schema.get_field_index(text_col)).cast(pa.large_binary())
             counts, codes, decoded = [], [], []
             for lo in range(0, len(texts), 64):
-                for ids in coder.encode(texts.slice(lo, 64).to_pylist()):
-                    counts.append(len(ids))
-                    codes.append(sha256(" ".join(map(number.__getitem__, ids)).encode()).hexdigest())
-                    decoded.append(sha256(coder.decode(ids).encode()).hexdigest())
+                with uncollected():
+                    for ids in coder.encode(texts.slice(lo, 64).to_pylist()):
+                        counts.append(len(ids))
+                        codes.append(sha256(" ".join(map(number.__getitem__, ids)).encode()).hexdigest())
+                        decoded.append(sha256(coder.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index(id_col)), pa.array(counts, pa.int64()), pa.array(codes), pa.array(decoded)],
                 [id_col, "n_tokens", "ids_sha256", "decoded_sha256"],

@@ -56,3 +56,14 @@ def test_ids_and_decoding(spark, awkward, library):
     for r in trie_bpe.decode_ids(frame, PATH).collect():
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
         assert r["ids"] == ids and r["decoded"] == library.decode(ids, skip_special_tokens=False)
+
+
+def test_no_cycle_search_while_encoding():
+    import gc
+
+    from corpusmill.llm.trie_bpe import uncollected
+
+    assert gc.isenabled()
+    with uncollected():
+        assert not gc.isenabled()
+    assert gc.isenabled()
