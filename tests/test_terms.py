@@ -122,3 +122,11 @@ def test_equal_vectors_are_folded_and_written_out(spark):
     found = sparse_cosine_pairs(spark.createDataFrame(rows, "seq bigint, terms array<string>, weights array<double>"), 0.9).collect()
     assert {(r["lo"], r["hi"]) for r in found} == {(i, j) for i in range(6) for j in (*range(i + 1, 6), 9)}
     assert len(found) == 21
+
+
+def test_vectors_that_name_a_term_twice_are_all_compared(spark):
+    """Such vectors come from repeated keys; no bound may drop their pairs, and the order of a pair counts."""
+    rows = [(1, ["a", "a", "b", "b"], [1.0, 1.0, 1.0, 1.0]), (0, ["a", "b"], [1.0, 1.0]), (2, ["a", "b"], [1.0, 1.0]), (3, ["a", "b", "c"], [1.0, 1.0, 0.8])]
+    found = sparse_cosine_pairs(spark.createDataFrame(rows, "seq bigint, terms array<string>, weights array<double>"), 0.9).collect()
+    got = {(r["lo"], r["hi"]): round(r["cosine"], 4) for r in found}
+    assert got == {(0, 1): 1.4142, (0, 2): 1.0} and len(found) == 2
