@@ -1,3 +1,6 @@
+import random
+import sys
+import tracemalloc
 from hashlib import sha256
 
 import public_tokenizers
@@ -67,3 +70,55 @@ def test_no_cycle_search_while_encoding():
     with uncollected():
         assert not gc.isenabled()
     assert gc.isenabled()
+
+
+def random_words(seed, n):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzéß", k=rng.randrange(4, 14))) for _ in range(n)]
+
+
+def test_keeps_nothing_of_the_words():
+    coder = trie_bpe.TrieEncoder(PATH)
+    coder.encode([" ".join(random_words(1, 1_000)).encode()])
+    text = " ".join(random_words(2, 30_000)).encode()
+    tracemalloc.start()
+    coder.encode([text])
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 1_000_000
+
+
+def test_no_python_step_per_word():
+    coder = trie_bpe.TrieEncoder(PATH)
+    text = " ".join(w for w in random_words(3, 30_000) if w.isascii()).encode()
+    calls = 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "call"
+
+    sys.setprofile(count)
+    coder.encode([text])
+    sys.setprofile(None)
+    assert calls < 5_000
+
+
+def test_long_pieces(library, monkeypatch):
+    """Pieces around the bound of the level walk, and tries of few pieces."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcé", k=k)) for k in (255, 256, 257, 700, 3_000)] + ["x" * 256 + " " + "x" * 257 + "'s", "中文" * 400]
+    texts += [" ".join(texts + random_words(5, 200)), "", "\t a  b\x0b"]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert trie_bpe.TrieEncoder(PATH).encode([t.encode() for t in texts]) == want
+    monkeypatch.setattr(trie_bpe, "CACHE_WORDS", 3)
+    monkeypatch.setattr(trie_bpe, "LEVELS", 5)
+    assert trie_bpe.TrieEncoder(PATH).encode([t.encode() for t in texts]) == want
+
+
+def test_slices_of_a_batch(spark, library, monkeypatch):
+    texts = [None, "", *(" ".join(random_words(k, 40)) for k in range(30)), "  ", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(trie_bpe, "SLICE_BYTES", 700)
+    check(trie_bpe.token_digests(frame, PATH).collect(), list(enumerate(texts)), library)
+    for r in trie_bpe.encode_texts(frame, PATH, with_text=True).collect():
+        assert r["ids"] == library.encode(r["text"] or "", add_special_tokens=False).ids
