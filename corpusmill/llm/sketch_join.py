@@ -287,7 +287,8 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     wanted = materialize(classes.join(sides, "class", "left_semi").select("class", F.xxhash64("first").alias("row")), "wanted")
     rows = docs.select(F.xxhash64(id_col).alias("row"), F.col(text_col).alias("text"))
     # Copies of a wanted text may come along; one row a class is enough.
-    held = _held_sets(rows, shingle, bitmap(wanted, "row"), bitmap(wanted, "class")).dropDuplicates(["class"])
+    n = wanted.count()
+    held = _held_sets(rows, shingle, bitmap(wanted, "row", n), bitmap(wanted, "class", n)).dropDuplicates(["class"])
     held = materialize(held, "sets")
     part, whole = similarity
 
@@ -299,15 +300,15 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
         common = len(np.intersect1d(a, b, assume_unique=True))
         return whole * common >= part * (len(a) + len(b) - common)
 
-    possible = materialize(_compared(pairs, held, "sketch", sketches_fit), "possible_pairs")
-    return _compared(possible, held, "set", sets_fit)
-
-
-def _compared(pairs: DataFrame, held: DataFrame, column: str, fit) -> DataFrame:
-    """The pairs whose two arrays of ``column`` fit; in units of one hub and about ``VERIFY`` members."""
     unit = F.pmod(F.xxhash64("member"), F.col("units"))
     units = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / VERIFY).alias("units"))
     sized = pairs.join(units, "hub").select("member", "hub", unit.alias("unit"))
+    possible = materialize(_compared(sized, held, "sketch", sketches_fit), "possible_pairs")
+    return _compared(possible, held, "set", sets_fit).select("member", "hub")
+
+
+def _compared(sized: DataFrame, held: DataFrame, column: str, fit) -> DataFrame:
+    """The pairs (member, hub, unit) whose two arrays of ``column`` fit; a unit is one hub and about ``VERIFY`` members."""
     members = sized.join(held, sized["member"] == held["class"]).select("hub", "unit", "member", F.col(column).alias("data"))
     hubs = sized.select("hub", "unit").distinct().join(held, sized["hub"] == held["class"]).select(
         "hub", "unit", F.lit(None).cast("long").alias("member"), F.col(column).alias("data")
@@ -319,24 +320,25 @@ def _compared(pairs: DataFrame, held: DataFrame, column: str, fit) -> DataFrame:
         data = [np.frombuffer(x, np.uint64) for x in table.column("data").to_pylist()]
         hub = next((d for n, d in zip(names, data) if n is None), None)
         good = [n for n, d in zip(names, data) if n is not None and hub is not None and fit(hub, d)]
-        return pa.table({"member": pa.array(good, pa.int64()), "hub": pa.array(table.column("hub").to_pylist()[:1] * len(good), pa.int64())})
+        same = {n: pa.array(table.column(n).to_pylist()[:1] * len(good), pa.int64()) for n in ("hub", "unit")}
+        return pa.table({"member": pa.array(good, pa.int64()), **same})
 
-    return members.union(hubs).groupBy("hub", "unit").applyInArrow(run, "member long, hub long")
+    return members.union(hubs).groupBy("hub", "unit").applyInArrow(run, "member long, hub long, unit long")
 
 
-def bitmap(table: DataFrame, column: str) -> np.ndarray:
-    """Bits of a column of numbers, about ``BITS_EACH`` for each row but never more than ``MOST_BITS`` in all.
+def bitmap(table: DataFrame, column: str, rows: int) -> np.ndarray:
+    """Bits of a column of numbers, about ``BITS_EACH`` for each of the ``rows`` rows but never more than ``MOST_BITS`` in all.
 
     Says for certain that a number is not in the column. Beyond the bound it fills up and excludes less.
     """
     bits = 64
-    while bits < min(MOST_BITS, BITS_EACH * table.count()):
+    while bits < min(MOST_BITS, BITS_EACH * rows):
         bits *= 2
     bit = F.pmod(F.col(column), F.lit(bits))
     words = table.select(F.shiftright(bit, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod({column}, 64) as int))").alias("mask"))
-    rows = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    found = words.groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
     out = np.zeros(bits // 64, np.uint64)
-    out[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
+    out[found["word"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
@@ -441,8 +443,8 @@ def _across(table: pa.Table, similarity, forests: int | None) -> pa.Table:
     return pa.table({"member": pairs[:, 1], "hub": pairs[:, 0]})
 
 
-def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarity, forests: int | None = None) -> DataFrame:
-    """Candidate pairs of different components from the buckets that hold several: all, or those of some forests."""
+def mixed_buckets(ties: DataFrame, comps: DataFrame) -> DataFrame:
+    """(key, home, parts, member) of the buckets that hold several components, one of all with the same members."""
     member = comps.select(F.col("class").alias("member"), F.col("root").alias("mc"))
     hub = comps.select(F.col("class").alias("hub"), F.col("root").alias("hc"))
     mixed = ties.join(member, "member").join(hub, "hub").filter("mc <> hc").select("key").distinct()
@@ -460,9 +462,25 @@ def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarit
     # Buckets with the same first member stay together, up to a number of rows, for a pair tends to share many of them.
     heads = buckets.groupBy("first").agg(F.ceil(F.sum(F.col("size") * F.col("parts")) / UNIT_ROWS).alias("shares"))
     home = buckets.join(heads, "first").select("key", "parts", F.xxhash64("first", F.pmod(F.xxhash64("key"), F.col("shares"))).alias("home"))
+    return materialize(inside.join(home, "key").select("key", "home", "parts", "member"), "dealt")
+
+
+def still_mixed(dealt: DataFrame, comps: DataFrame) -> DataFrame:
+    """The rows of ``mixed_buckets`` whose buckets hold several of the components there are by now.
+
+    Components only grow together, so a bucket that held one before still does.
+    """
+    root = comps.select(F.col("class").alias("member"), "root")
+    keys = dealt.select("key", "member").join(root, "member").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return dealt.join(materialize(keys.filter("low <> high").select("key"), "mixed"), "key", "left_semi")
+
+
+def cross_pairs(dealt: DataFrame, comps: DataFrame, classes: DataFrame, similarity, forests: int | None = None) -> DataFrame:
+    """Candidate pairs of different components from ``mixed_buckets``: all, or those of some forests."""
     lanes = [f"s{i}" for i in range(_LANES)]
     info = classes.join(comps, "class").select(F.col("class").alias("member"), F.col("root").alias("comp"), "n", *lanes)
-    dealt = inside.join(home, "key").join(info, "member").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")))
+    rows = dealt.agg(F.sum("parts")).first()[0] or 0
+    dealt = dealt.join(info, "member").withColumn("part", F.pmod(F.xxhash64("member"), F.col("parts")))
     # Each part meets itself and every other part once: unit (i, j) with i <= j, its members on side 0 (i) or 1 (j).
     units = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
         "key", "home", "member", "comp", "n", *lanes,
@@ -470,7 +488,6 @@ def cross_pairs(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarit
         (F.col("part") > F.col("other")).cast("int").alias("side"),
     )
     # Small units share a call; a unit is never split, and has at most two parts.
-    rows = buckets.agg(F.sum(F.col("size") * F.col("parts"))).first()[0] or 0
     slots = F.pmod(F.xxhash64("home", "i", "j"), F.lit(max(1, rows // UNIT_ROWS)))
     compared = units.groupBy(slots.alias("slot")).applyInArrow(lambda t: _across(t, similarity, forests), "member long, hub long")
     return compared.distinct()
@@ -517,12 +534,15 @@ def _components(docs, classes, total, id_col, text_col, shingle, similarity) ->
     proof = lambda p, name: materialize(verify(p, classes, docs, id_col, text_col, shingle, similarity), name)
     links = proof(materialize(best, "first_pairs"), "first_links")
     roots = materialize(_roots(classes, links), "first_roots")
+    dealt = mixed_buckets(ties, roots)
     for forests in (FORESTS, None):
-        crossing = materialize(cross_pairs(ties, roots, classes, similarity, forests), "crossing_pairs")
+        dealt = dealt if forests else still_mixed(dealt, roots)
+        crossing = materialize(cross_pairs(dealt, roots, classes, similarity, forests), "crossing_pairs")
         if crossing.isEmpty():
             break
-        links = links.union(proof(crossing, "crossing_links"))
-        roots = materialize(_roots(classes, links), "roots")
+        # A class and its root stand for all earlier links.
+        links = roots.filter("class <> root").select(F.col("class").alias("member"), F.col("root").alias("hub"))
+        roots = materialize(_roots(classes, links.union(proof(crossing, "crossing_links"))), "roots")
     return roots
 
 
