@@ -11,7 +11,10 @@ are equal (pigeonhole). Documents that share the value of a block meet; nothing
   one of the two sets. A set with too many deals its elements again by another hash, until a deal has few enough; it
   takes part in all deals up to that one. For any pair the earlier of the two last deals holds for both.
 * A second, 512-bit parity sketch travels with each set; its Hamming distance is a lower bound of the difference, and
-  drops candidates before any set is read. A wider one does so for large sets before whole sets are sent.
+  drops candidates before any set is read. A wider one, read first and alone, does so for large sets before whole sets are.
+* One shared block makes no link: the same count says how many blocks a set must share with a similar one, hundreds where
+  sets are large. A set with fewer blocks in buckets of several components has no link left and meets nobody there, so
+  passages that many long texts have in common do not make pairs of all of them.
 
 Sets with equal elements are one class and are compared once. Blocks of equal value form a bucket. The first pass only
 ties each member to the bucket's hub; a class is verified against one of the hubs it shares most blocks with, and verified
@@ -22,7 +25,7 @@ of near copies grows together by a few links each; then every candidate that is
 So pairs within a component are never formed, yet no link between components is missed.
 
 Hot keys: equal blocks are folded within each map task, so a bucket gets at most one row per input batch; numbers are
-shuffled as packed arrays. Verification reads the sets of candidate classes only.
+shuffled as packed arrays. Verification reads the sets of candidate classes only, and sends each straight to its pairs.
 
 Defined results: null and texts without words have an empty set, ``n_shingles`` 0 and themselves as component. Rows with
 equal ids count as separate rows with that id; a null id takes part with the others of its class and never names a
@@ -113,6 +116,27 @@ def bands(sizes: np.ndarray, similarity=SIMILARITY) -> list[tuple[np.ndarray, in
     return out
 
 
+def least_shared(sizes: np.ndarray, similarity=SIMILARITY) -> np.ndarray:
+    """Fewest keys that a set of each size shares with any similar set, whatever the band in which they meet.
+
+    In the deal that holds for a pair one set has fewer than ``blocks - most`` empty blocks, and at most ``difference`` blocks
+    differ; so more than ``most - difference`` blocks are equal and not empty. Two fewer are asked for, as keys of 40 bits may
+    fall together.
+    """
+    part, whole = similarity
+    least = np.full(len(sizes), np.iinfo(np.int64).max)
+    for members, name, most, _ in bands(sizes, similarity):
+        n = sizes[members]
+        partner = n * whole // part
+        if name % 2:  # a border: the smaller set lies below it
+            border = 1 << name // 2
+            partner = np.where(n < border, partner, border - 1)
+        else:
+            partner = np.minimum(partner, (2 << name // 2) - 1)
+        least[members] = np.minimum(least[members], most - most_difference(n + partner, similarity) + 1)
+    return np.maximum(least - 2, 1)
+
+
 def block_keys(values: np.ndarray, row: np.ndarray, n: int, similarity=SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
     """Hashed (band, deal, block, parity) of every non-empty block: key, text index."""
     sizes = np.bincount(row, minlength=n)
@@ -280,16 +304,10 @@ def may_be_similar(a: str, b: str, similarity=SIMILARITY) -> Column:
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity) -> DataFrame:
     """Of (member, hub) class pairs, those whose sets are similar, by the sets themselves.
 
-    Only the texts of classes in a pair are read again, one text a class. A hub's set is sent once to each unit of about
+    Wide sketches go first; only the pairs they leave have their sets read. A hub's set is sent once to each unit of about
     ``VERIFY`` members, so no task holds more than one unit and two sets.
     """
-    sides = pairs.select(F.col("member").alias("class")).union(pairs.select(F.col("hub").alias("class"))).distinct()
-    wanted = materialize(classes.join(sides, "class", "left_semi").select("class", F.xxhash64("first").alias("row")), "wanted")
     rows = docs.select(F.xxhash64(id_col).alias("row"), F.col(text_col).alias("text"))
-    # Copies of a wanted text may come along; one row a class is enough.
-    n = wanted.count()
-    held = _held_sets(rows, shingle, bitmap(wanted, "row", n), bitmap(wanted, "class", n)).dropDuplicates(["class"])
-    held = materialize(held, "sets")
     part, whole = similarity
 
     def sketches_fit(a: np.ndarray, b: np.ndarray) -> bool:
@@ -303,16 +321,21 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, t
     unit = F.pmod(F.xxhash64("member"), F.col("units"))
     units = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / VERIFY).alias("units"))
     sized = pairs.join(units, "hub").select("member", "hub", unit.alias("unit"))
-    possible = materialize(_compared(sized, held, "sketch", sketches_fit), "possible_pairs")
-    return _compared(possible, held, "set", sets_fit).select("member", "hub")
+    possible = materialize(_compared(sized, classes, rows, shingle, wide_sketch, sketches_fit), "possible_pairs")
+    return _compared(possible, classes, rows, shingle, np.ndarray.tobytes, sets_fit).select("member", "hub")
 
 
-def _compared(sized: DataFrame, held: DataFrame, column: str, fit) -> DataFrame:
-    """The pairs (member, hub, unit) whose two arrays of ``column`` fit; a unit is one hub and about ``VERIFY`` members."""
-    members = sized.join(held, sized["member"] == held["class"]).select("hub", "unit", "member", F.col(column).alias("data"))
-    hubs = sized.select("hub", "unit").distinct().join(held, sized["hub"] == held["class"]).select(
-        "hub", "unit", F.lit(None).cast("long").alias("member"), F.col(column).alias("data")
-    )
+def _compared(sized: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, form, fit) -> DataFrame:
+    """The pairs (member, hub, unit) whose sets, in the given form, fit; a unit is one hub and about ``VERIFY`` members.
+
+    Only the texts of classes in a pair are read again, one text a class, and each set goes from there to its units.
+    """
+    hubs = sized.select("hub", "unit").distinct().select(F.col("hub").alias("class"), "hub", "unit", F.lit(None).cast("long").alias("member"))
+    sides = sized.select(F.col("member").alias("class"), "hub", "unit", "member").union(hubs)
+    wanted = materialize(classes.join(sides, "class", "left_semi").select("class", F.xxhash64("first").alias("row")), "wanted")
+    n = wanted.count()
+    # Copies of a wanted text may come along; one row a class is enough.
+    held = _held_sets(rows, shingle, bitmap(wanted, "row", n), bitmap(wanted, "class", n), form).dropDuplicates(["class"])
 
     def run(table: pa.Table) -> pa.Table:
         release()
@@ -323,7 +346,8 @@ def _compared(sized: DataFrame, held: DataFrame, column: str, fit) -> DataFrame:
         same = {n: pa.array(table.column(n).to_pylist()[:1] * len(good), pa.int64()) for n in ("hub", "unit")}
         return pa.table({"member": pa.array(good, pa.int64()), **same})
 
-    return members.union(hubs).groupBy("hub", "unit").applyInArrow(run, "member long, hub long, unit long")
+    sent = sides.join(held, "class").select("hub", "unit", "member", "data")
+    return sent.groupBy("hub", "unit").applyInArrow(run, "member long, hub long, unit long")
 
 
 def bitmap(table: DataFrame, column: str, rows: int) -> np.ndarray:
@@ -347,8 +371,8 @@ def may_hold(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _held_sets(rows: DataFrame, shingle: int, row_bits: np.ndarray, class_bits: np.ndarray) -> DataFrame:
-    """Class and packed set of the rows that the two bitmaps let pass; sets that nobody asked for may come along.
+def _held_sets(rows: DataFrame, shingle: int, row_bits: np.ndarray, class_bits: np.ndarray, form) -> DataFrame:
+    """Class and set, packed by ``form``, of the rows that the two bitmaps let pass; sets that nobody asked for may come along.
 
     Texts stay where they are: joining them with the wanted ids would shuffle every text.
     """
@@ -365,13 +389,10 @@ def _held_sets(rows: DataFrame, shingle: int, row_bits: np.ndarray, class_bits:
                 _, one, _ = class_hashes(values, row, n)
                 ends = np.searchsorted(row, np.arange(n + 1))
                 asked = np.flatnonzero(may_hold(class_bits, one))
-                data = [values[ends[i] : ends[i + 1]] for i in asked]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one[asked].view(np.int64)), pa.array([wide_sketch(d) for d in data], pa.binary()), pa.array([d.tobytes() for d in data], pa.binary())],
-                    ["class", "sketch", "set"],
-                )
+                data = [form(values[ends[i] : ends[i + 1]]) for i in asked]
+                yield pa.RecordBatch.from_arrays([pa.array(one[asked].view(np.int64)), pa.array(data, pa.binary())], ["class", "data"])
 
-    return rows.mapInArrow(run, "class long, sketch binary, set binary")
+    return rows.mapInArrow(run, "class long, data binary")
 
 
 def wide_sketch(values: np.ndarray) -> bytes:
@@ -443,36 +464,53 @@ def _across(table: pa.Table, similarity, forests: int | None) -> pa.Table:
     return pa.table({"member": pairs[:, 1], "hub": pairs[:, 0]})
 
 
-def mixed_buckets(ties: DataFrame, comps: DataFrame) -> DataFrame:
-    """(key, home, parts, member) of the buckets that hold several components, one of all with the same members."""
+def sharing(rows: DataFrame, keys: Column, classes: DataFrame, similarity) -> DataFrame:
+    """The rows of members that are in as many mixed buckets, by the aggregate ``keys``, as a link needs.
+
+    All buckets of two linked classes in different components are mixed, so a member with fewer has no such link.
+    """
+    counts = rows.groupBy("member").agg(keys.alias("keys")).join(classes.select(F.col("class").alias("member"), "n"), "member")
+
+    @task()
+    def run(batches):
+        for batch in batches:
+            least = least_shared(batch.column("n").to_numpy(), similarity)
+            yield batch.filter(pa.array(batch.column("keys").to_numpy() >= least)).select(["member"])
+
+    return rows.join(counts.mapInArrow(run, "member long"), "member", "left_semi")
+
+
+def mixed_buckets(ties: DataFrame, comps: DataFrame, classes: DataFrame, similarity) -> DataFrame:
+    """(key, home, parts, same, member) of the buckets that hold several components, one of all ``same`` with the same members."""
     member = comps.select(F.col("class").alias("member"), F.col("root").alias("mc"))
     hub = comps.select(F.col("class").alias("hub"), F.col("root").alias("hc"))
     mixed = ties.join(member, "member").join(hub, "hub").filter("mc <> hc").select("key").distinct()
     rows = ties.join(mixed, "key", "left_semi")
     inside = rows.select("key", "member").union(rows.select("key", F.col("hub").alias("member"))).distinct()
-    inside = materialize(inside, "mixed")
+    inside = materialize(sharing(materialize(inside, "mixed"), F.count(F.lit(1)), classes, similarity), "sharing")
     hashed = F.xxhash64("member")
     buckets = inside.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.min("member").alias("first"),
         F.bit_xor(hashed).alias("mark"), F.bit_xor(F.xxhash64(hashed, F.lit(1))).alias("mark2"),
-    )
+    ).filter("size > 1")
     # Buckets with the same members ask for the same pairs; one of them is enough.
-    buckets = buckets.groupBy("size", "first", "mark", "mark2").agg(F.min("key").alias("key"))
-    buckets = materialize(buckets.select("key", "size", "first", F.ceil(F.col("size") / COMPARE).alias("parts")), "buckets")
+    buckets = buckets.groupBy("size", "first", "mark", "mark2").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("same"))
+    buckets = materialize(buckets.select("key", "size", "first", "same", F.ceil(F.col("size") / COMPARE).alias("parts")), "buckets")
     # Buckets with the same first member stay together, up to a number of rows, for a pair tends to share many of them.
     heads = buckets.groupBy("first").agg(F.ceil(F.sum(F.col("size") * F.col("parts")) / UNIT_ROWS).alias("shares"))
-    home = buckets.join(heads, "first").select("key", "parts", F.xxhash64("first", F.pmod(F.xxhash64("key"), F.col("shares"))).alias("home"))
-    return materialize(inside.join(home, "key").select("key", "home", "parts", "member"), "dealt")
+    home = buckets.join(heads, "first").select("key", "parts", "same", F.xxhash64("first", F.pmod(F.xxhash64("key"), F.col("shares"))).alias("home"))
+    return materialize(inside.join(home, "key").select("key", "home", "parts", "same", "member"), "dealt")
 
 
-def still_mixed(dealt: DataFrame, comps: DataFrame) -> DataFrame:
+def still_mixed(dealt: DataFrame, comps: DataFrame, classes: DataFrame, similarity) -> DataFrame:
     """The rows of ``mixed_buckets`` whose buckets hold several of the components there are by now.
 
     Components only grow together, so a bucket that held one before still does.
     """
     root = comps.select(F.col("class").alias("member"), "root")
     keys = dealt.select("key", "member").join(root, "member").groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    return dealt.join(materialize(keys.filter("low <> high").select("key"), "mixed"), "key", "left_semi")
+    left = dealt.join(materialize(keys.filter("low <> high").select("key"), "mixed"), "key", "left_semi")
+    return materialize(sharing(left, F.sum("same"), classes, similarity), "sharing")
 
 
 def cross_pairs(dealt: DataFrame, comps: DataFrame, classes: DataFrame, similarity, forests: int | None = None) -> DataFrame:
@@ -534,9 +572,9 @@ def _components(docs, classes, total, id_col, text_col, shingle, similarity) ->
     proof = lambda p, name: materialize(verify(p, classes, docs, id_col, text_col, shingle, similarity), name)
     links = proof(materialize(best, "first_pairs"), "first_links")
     roots = materialize(_roots(classes, links), "first_roots")
-    dealt = mixed_buckets(ties, roots)
+    dealt = mixed_buckets(ties, roots, classes, similarity)
     for forests in (FORESTS, None):
-        dealt = dealt if forests else still_mixed(dealt, roots)
+        dealt = dealt if forests else still_mixed(dealt, roots, classes, similarity)
         crossing = materialize(cross_pairs(dealt, roots, classes, similarity, forests), "crossing_pairs")
         if crossing.isEmpty():
             break

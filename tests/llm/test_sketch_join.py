@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter, defaultdict
@@ -127,3 +128,35 @@ def test_members_of_a_hot_key_are_spread(spark, monkeypatch):
     assert left >= 8 and sum(r["apart"] != 0 for r in sizes[0]) == left
     whole = rows.groupBy("bucket").applyInArrow(sj._ties, "key long, member long, hub long")
     assert got == sorted(map(tuple, whole.collect()))
+
+
+def test_similar_sets_share_as_many_keys_as_asked():
+    rng = np.random.RandomState(1)
+    for similarity in (sj.SIMILARITY, (90, 100)):
+        part, whole = similarity
+        for size in [*range(1, 40), 63, 64, 65, 79, 102, 127, 128, 129, 300, 511, 512, 640, 1023, 1024, 1279, 1500]:
+            for _ in range(6):
+                most = size * (whole - part) // whole
+                x, y = [(most, 0), (0, size * (whole - part) // part), (rng.randint(most + 1), 0)][rng.randint(3)]
+                a = rng.randint(0, 1 << 62, size).astype(np.uint64)
+                b = np.concatenate([a[x:], rng.randint(0, 1 << 62, y).astype(np.uint64)])
+                values = np.concatenate([np.sort(a), np.sort(b)])
+                keys, owner = sj.block_keys(values, np.repeat([0, 1], [len(a), len(b)]), 2, similarity)
+                shared = len(set(keys[owner == 0]) & set(keys[owner == 1]))
+                assert shared >= sj.least_shared(np.array([len(a), len(b)]), similarity).max(), (similarity, size, x, y)
+
+
+def test_long_texts_with_a_common_passage(spark, monkeypatch):
+    """They share a few blocks only, so they make no pairs with each other and their sets are not written."""
+    rng = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"q{rng.randrange(100_000)}" for _ in range(1_500)) + f" {passage}") for i in range(60)]
+    rows += [(100 + i, f"{t} more{i}") for i, t in rows[:5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    written = defaultdict(list)
+    keep = sj.materialize
+    monkeypatch.setattr(sj, "materialize", lambda df, name: written[name].append(out := keep(df, name)) or out)
+    assert got(sj.near_duplicates(docs)) == brute(rows)
+    assert sum(t.count() for t in written["crossing_pairs"]) <= 20
+    files = [f.removeprefix("file://") for tables in written.values() for t in tables for f in t.inputFiles()]
+    assert sum(os.path.getsize(f) for f in files) < sum(len(t) for _, t in rows) / 2
