@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.constants import MIN_TEXT_LENGTH, SUMMARY_SENTENCES
-from corpusmill.functions.common import explode_positions
-from corpusmill.session import materialize
+from corpusmill.operators.chunks import answered, chunked, coded, column, listed_terms, lists, runs, sizes, text_words
+from corpusmill.session import materialize, unstage
 
 _WORD = r"[\p{L}\p{N}]+"
 _SENTENCE_END = r"[.!?]+"
@@ -75,24 +77,70 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _spoken(together: bool):
+    """Words of a chunk of texts with the texts that have each, and per text the lengths of its sentences and the places of their words."""
+
+    def encode(table: pa.Table) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+        texts = column(table, "sentences")
+        said = texts.flatten()
+        names, place = coded(said.flatten())
+        n, length = sizes(texts), sizes(said)
+        own = runs(column(table, "key"), together)
+        row = np.repeat(np.repeat(own, n), length)
+        width = max(1, len(names))
+        having = np.unique(row * width + place) % width
+        return names, np.bincount(having, minlength=len(names)), [x.astype(np.int32) for x in (n, length, place)]
+
+    return encode
+
+
+def _best_sentences(total: float, sentences: int, together: bool):
+    """The numbers of the best sentences of each text, from the document frequencies of its words, 1 where none is given."""
+
+    def decode(keys: pa.Array, terms: pa.Array, body: list[np.ndarray], pos: np.ndarray, value: np.ndarray) -> pa.Table:
+        n, length, place = body
+        df = np.ones(len(terms))
+        df[pos.astype(np.int64)] = value
+        text = np.repeat(runs(keys, together), n)
+        number = np.arange(len(length)) - np.repeat(np.cumsum(n) - n, n)
+        summed = np.bincount(np.repeat(np.arange(len(length)), length), weights=np.log((total + 1) / (df + 1))[place], minlength=len(length))
+        said = np.flatnonzero(length)
+        text, number, length, summed = text[said], number[said], length[said], summed[said]
+        if together:
+            # Sentences of one number in rows of one key count as one, over the length of the first.
+            _, first, same = np.unique(text * (number.max(initial=0) + 1) + number, return_index=True, return_inverse=True)
+            summed = np.bincount(same, weights=summed, minlength=len(first))
+            text, number, length = text[first], number[first], length[first]
+        score = np.round(summed / length, 9)
+        order = np.lexsort((number, -score, text))
+        text, number = text[order], number[order]
+        place = np.arange(len(text)) - np.searchsorted(text, text)
+        text, number = text[place < sentences], number[place < sentences]
+        found, ends = np.unique(text, return_counts=True)
+        own = keys.take(pa.array(np.searchsorted(runs(keys, together), found)))
+        return pa.Table.from_arrays([own, lists(np.cumsum(ends), number.astype(np.int32))], names=["key", "_numbers"])
+
+    return decode
+
+
 def summarize_exact(docs: DataFrame, content: str = "content", key: str = "seq", sentences: int = SUMMARY_SENTENCES) -> DataFrame:
     """Add ``summary``: the sentences of the highest mean inverse document frequency, ln((N + 1) / (df + 1)), exact for any vocabulary.
 
-    ``key`` must be unique. Document frequencies stay a table: terms of a single document are left out of it, the others are joined to the
-    distinct terms of each sentence. Neither the driver nor a task holds a vocabulary. Texts move once, to their chosen sentences.
+    ``key`` must be unique. Document frequencies stay a table: each chunk of texts asks for those of its own words, once for each. Neither the
+    driver nor a task holds the whole vocabulary. Texts move once, to their chosen sentences.
     """
     text = F.col(content)
-    # Outer explodes compute the lists once. A word that comes twice in a sentence has two rows, so nothing has to be counted in the row.
-    spoken = explode_positions(docs, _parts(text), key, pos="s", value="sentence").select(key, "s", _words(F.col("sentence")).alias("words"))
-    said = spoken.select(key, "s", F.size("words").alias("n_words"), F.explode_outer("words").alias("term")).filter(F.col("term").isNotNull())
-    postings = materialize(said, "sentence_terms")
-    frequent = postings.groupBy("term").agg(F.count_distinct(key).alias("df")).filter("df > 1")
-    total = F.lit(float(docs.count()))
-    weight = F.log((total + 1) / (F.coalesce("df", F.lit(1)) + 1))
-    scored = postings.join(frequent, "term", "left").groupBy(key, "s").agg(F.round(F.sum(weight) / F.first("n_words"), 9).alias("score"))
-    order = Window.partitionBy(key).orderBy(F.desc("score"), "s")
-    best = scored.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sentences)
-    numbers = best.groupBy(key).agg(F.collect_list("s").alias("_numbers"))
+    counts = docs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("n"), F.max(F.when(F.col(key).isNotNull(), F.col("n"))).alias("most")).first()
+    together = (counts["most"] or 0) > 1
+    # Texts without a key are counted but have no frequencies and no ranks of their own.
+    spoken = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.transform(_parts(text), _words).alias("sentences"))
+    chunks = chunked(spoken, "key", lambda batch: text_words(batch.column("sentences")), _spoken(together), together, "sentence_terms")
+    df = F.sum("n").over(Window.partitionBy("term"))
+    frequent = listed_terms(chunks).select("chunk", "pos", df.alias("value")).filter("value > 1")
+    ddl = f"key {docs.schema[key].dataType.simpleString()}, _numbers array<int>"
+    numbers = answered(chunks, frequent, _best_sentences(float(counts["n"] or 0), sentences, together), ddl)
+    numbers = materialize(numbers.withColumnRenamed("key", key), "numbers")
+    unstage(chunks)
     joined = docs.join(numbers, key, "left")
     found = F.coalesce("_numbers", F.array().cast("array<int>"))
 
