@@ -88,3 +88,39 @@ def test_shuffle_files_end_with_the_job_that_writes_a_table(spark):
     before = spark.conf.get(name)
     table = session.materialize(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count(), "counted")
     assert table.count() == 7 and spark.conf.get(name) == before
+
+
+def test_vectors_write_no_row_a_word(spark, written):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(80)}" for _ in range(300))) for i in range(40)]
+    found = {r["seq"]: dict(zip(r["terms"], r["weights"])) for r in terms.term_vectors(spark.createDataFrame(rows, DDL)).collect()}
+    df = Counter(w for _, text in rows for w in set(text.split()))
+    for seq, text in rows:
+        raw = {w: n * math.log(41 / (df[w] + 1)) for w, n in Counter(text.split()).items() if df[w] < 40}
+        norm = math.sqrt(sum(x * x for x in raw.values()))
+        assert found[seq] == pytest.approx({w: x / norm for w, x in raw.items()}, abs=1e-6)
+    assert 0 < sum(written.values()) < 40
+
+
+def test_vectors_of_rows_with_one_key(spark):
+    """Each row of a key lists its own terms and counts in the frequencies; rows without a key are one vector."""
+    rows = [(1, "a b b"), (1, "a c"), (2, "b c d"), (None, "d e"), (None, "e"), (3, None)]
+    found = {r["seq"]: (r["terms"], r["weights"]) for r in terms.term_vectors(spark.createDataFrame(rows, DDL)).collect()}
+    raw = {1: [("a", 1), ("a", 1), ("b", 2), ("c", 1)], 2: [("b", 1), ("c", 1), ("d", 1)], None: [("d", 1), ("e", 1), ("e", 1)]}
+    assert set(found) == set(raw)
+    for key, entries in raw.items():
+        w = [n * math.log(7 / 3) for _, n in entries]
+        assert found[key][0] == [t for t, _ in entries]
+        assert found[key][1] == pytest.approx([x / math.sqrt(sum(y * y for y in w)) for x in w], abs=1e-6)
+
+
+def test_whole_vectors_are_sent_for_few_pairs(spark, written):
+    """Three vectors each share a rare term, but what their heads share and what may follow is not 0.9."""
+    rows = []
+    for i in range(30):
+        own = {f"s{i // 3}": 0.02, **{f"m{j}_{i % 3}": 0.046 for j in range(5)}, "c": 0.75}
+        rows.append((i, sorted(own), [math.sqrt(own[t]) for t in sorted(own)]))
+    found = terms.sparse_cosine_pairs(spark.createDataFrame(rows, "seq bigint, terms array<string>, weights array<double>"), 0.9).collect()
+    assert {(r["lo"], r["hi"]) for r in found} == {(i, j) for i in range(30) for j in range(i + 3, 30, 3)}
+    assert all(r["cosine"] == pytest.approx(0.98) for r in found)
+    assert written["near"] == 135 and written["met"] == 165
